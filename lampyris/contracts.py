@@ -10,8 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 _SPARK_TYPES = {
@@ -41,9 +40,10 @@ class Field:
     def data_type(self) -> T.DataType:
         return _SPARK_TYPES[self.type_name]
 
-    def default_column(self) -> Column:
+    @property
+    def default_sql(self) -> str:
         value = self.default if self.has_default else None
-        return F.lit(value).cast(self.data_type)
+        return f"cast({sql_literal(value)} as {self.type_name})"
 
 
 @dataclass(frozen=True)
@@ -83,31 +83,42 @@ class FactContract:
         stays NULL unless ``fill_nulls`` is set (the streaming convention).
         Values that cannot be cast become NULL so the rules can reject them.
         """
-        present = {name: raw.schema[name].dataType for name in raw.columns}
+        present = {column.name: column.dataType for column in raw.schema.fields}
         always_filled = dict(self.null_fill)
         out = []
         for field in self.fields:
             if field.name not in present:
-                column = field.default_column()
+                column = field.default_sql
             else:
-                column = _tolerant_cast(F.col(f"`{field.name}`"), present[field.name], field.data_type)
+                column = _tolerant_cast(field, present[field.name])
                 if fill_nulls and field.has_default:
-                    column = F.coalesce(column, field.default_column())
+                    column = f"coalesce({column}, {field.default_sql})"
             if field.name in always_filled:
-                column = F.coalesce(column, F.lit(always_filled[field.name]))
-            out.append(column.alias(field.name))
-        return raw.select(*out)
+                column = f"coalesce({column}, {sql_literal(always_filled[field.name])})"
+            out.append(f"{column} as `{field.name}`")
+        return raw.selectExpr(*out)
+
+
+def sql_literal(value: object) -> str:
+    if value is None:
+        return "null"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
 
 
-def _tolerant_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
-    if source == target:
+def _tolerant_cast(field: Field, source: T.DataType) -> str:
+    column = f"`{field.name}`"
+    if source == field.data_type:
         return column
     if isinstance(source, T.NullType):
-        return F.lit(None).cast(target)
-    if isinstance(source, T.StringType) and isinstance(target, T.DateType):
+        return f"cast(null as {field.type_name})"
+    if isinstance(source, T.StringType) and field.type_name == "date":
         # Date text may carry a time part; the day is what counts.
-        return column.try_cast(T.TimestampType()).cast(target)
-    return column.try_cast(target)
+        return f"cast(try_cast({column} as timestamp) as date)"
+    return f"try_cast({column} as {field.type_name})"
 
 
 def _field(text: str) -> Field:

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lampyris.contracts import FactContract, Rule
+from lampyris.contracts import FactContract, Rule, sql_literal
 
 ERRORS = "_dq_errors"
 STATUS = "_dq_status"
@@ -15,17 +13,19 @@ VALID = "valid"
 REJECTED = "quarantine"
 
 
+def _holds(rule: Rule, null_fails: bool) -> str:
+    """A rule whose NULL outcome passes (batch) or fails (streaming)."""
+    return f"coalesce({rule.predicate}, {'false' if null_fails else 'true'})"
+
+
 def failed_labels(rules: tuple[Rule, ...], null_fails: bool = False) -> Column:
     """Array of labels of the rules a row breaks.
 
     A predicate that evaluates to NULL passes by default (batch convention);
     ``null_fails`` treats it as broken (streaming convention).
     """
-    marks = []
-    for rule in rules:
-        holds = F.coalesce(F.expr(rule.predicate), F.lit(not null_fails))
-        marks.append(F.when(~holds, F.lit(rule.label)))
-    return F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>")
+    marks = [f"case when not {_holds(rule, null_fails)} then {sql_literal(rule.label)} end" for rule in rules]
+    return F.expr(f"array_compact(array({', '.join(marks)}))") if marks else F.expr("cast(array() as array<string>)")
 
 
 def validate(facts: DataFrame, contract: FactContract, null_fails: bool = False) -> DataFrame:
@@ -42,8 +42,8 @@ def split(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def keep_valid(facts: DataFrame, contract: FactContract, null_fails: bool = False) -> DataFrame:
     """Valid rows only, as one plain filter: no error array is built."""
-    holds = [F.coalesce(F.expr(rule.predicate), F.lit(not null_fails)) for rule in contract.rules]
-    return facts.where(reduce(lambda a, b: a & b, holds)) if holds else facts
+    holds = " and ".join(_holds(rule, null_fails) for rule in contract.rules)
+    return facts.where(holds) if holds else facts
 
 
 def status_counts(validated: DataFrame) -> DataFrame:

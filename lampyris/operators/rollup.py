@@ -127,7 +127,8 @@ class Rollup:
         ``extra_keys`` keeps attributes that are replaced before ``finish``,
         for example a user id that a later dimension join turns into a team.
         """
-        grain = [F.col(k) for k in (*self.keys, *extra_keys) if k in facts.columns]
+        have = set(facts.columns)
+        grain = [F.col(k) for k in (*self.keys, *extra_keys) if k in have]
         if self.percentile:
             grain.append(F.col(self.percentile.value).alias("_value"))
         if self.distinct:

@@ -59,48 +59,43 @@ _NODES = {
 
 def _nodes(facts: DataFrame, kind: str) -> DataFrame:
     spec = _NODES[kind]
+    have = set(facts.columns)
 
-    def text(name: str | None) -> Column:
-        return F.coalesce(F.col(name).cast("string"), F.lit("")) if name in facts.columns else F.lit("")
+    def text(name: str | None) -> str:
+        return f"coalesce(cast({name} as string), '')" if name in have else "''"
 
-    def number(name: str | None) -> Column:
-        return F.coalesce(F.col(name).cast("bigint"), F.lit(0)) if name in facts.columns else F.lit(0).cast("bigint")
+    def number(name: str | None) -> str:
+        return f"coalesce(cast({name} as bigint), 0L)" if name in have else "0L"
 
-    def time(name: str | None) -> Column:
-        return F.col(name).cast("timestamp") if name in facts.columns else F.lit(None).cast("timestamp")
+    def time(name: str | None) -> str:
+        return f"cast({name} as timestamp)" if name in have else "cast(null as timestamp)"
 
-    priced = spec.get("priced") and "estimated_cost_usd" in facts.columns
-    cost = F.coalesce(F.col("estimated_cost_usd").cast("double"), F.lit(0.0)) if priced else F.lit(0.0)
-    tokens = number("total_tokens") if spec.get("priced") else F.lit(0).cast("bigint")
-    run = kind == "orchestration"
-    start, took = time(spec["start"]), number(spec["took"])
-    if spec["took"] in facts.columns:
-        end = F.coalesce(time(spec.get("end")), F.timestamp_millis(F.unix_millis(start) + took))
-    else:
-        end = time(spec.get("end"))
+    priced, run = spec.get("priced", False), kind == "orchestration"
+    cost = "coalesce(cast(estimated_cost_usd as double), 0D)" if priced and "estimated_cost_usd" in have else "0D"
+    start, took, end = time(spec["start"]), number(spec["took"]), time(spec.get("end"))
+    if spec["took"] in have:
+        end = f"coalesce({end}, timestamp_millis(unix_millis({start}) + {took}))"
     renamed = spec.get("renamed", {})
-    columns = [
-        F.to_date("date").alias("date") if "date" in facts.columns else F.lit(None).cast("date").alias("date"),
-        text("trace_id").alias("trace_id"),
-        F.lit(kind).alias("node_type"),
-        text(spec["id"]).alias("node_id"),
-        text(spec["name"]).alias("node_name"),
-        text("status").alias("status"),
-        text("error_type").alias("error_type"),
-        took.alias("latency_ms"),
-        cost.alias("cost_usd"),
-        tokens.alias("tokens"),
-        number(spec.get("inp")).alias("input_size"),
-        number(spec.get("out")).alias("output_size"),
-        start.alias("started"),
-        end.alias("ended"),
-    ]
-    for name in _TEXT_COLUMNS:
-        source = renamed.get(name, name if name in spec["text"] else None)
-        columns.append(text(source).alias(name))
-    for declared in ("llm_call_count", "tool_call_count", "retrieval_count"):
-        columns.append((number(declared) if run else F.lit(0).cast("bigint")).alias(f"_{declared}"))
-    return facts.select(*columns).where(F.col("trace_id") != "")
+    columns = {
+        "date": "to_date(date)" if "date" in have else "cast(null as date)",
+        "trace_id": text("trace_id"),
+        "node_type": f"'{kind}'",
+        "node_id": text(spec["id"]),
+        "node_name": text(spec["name"]),
+        "status": text("status"),
+        "error_type": text("error_type"),
+        "latency_ms": took,
+        "cost_usd": cost,
+        "tokens": number("total_tokens") if priced else "0L",
+        "input_size": number(spec.get("inp")),
+        "output_size": number(spec.get("out")),
+        "started": start,
+        "ended": end,
+    }
+    columns |= {name: text(renamed.get(name, name if name in spec["text"] else None)) for name in _TEXT_COLUMNS}
+    declared = ("llm_call_count", "tool_call_count", "retrieval_count")
+    columns |= {f"_{name}": number(name) if run else "0L" for name in declared}
+    return facts.selectExpr(*[f"{sql} as {name}" for name, sql in columns.items()]).where("trace_id <> ''")
 
 
 def trace_health(

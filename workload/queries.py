@@ -28,11 +28,10 @@ class Data:
     """Typed, valid facts and summaries of one test directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        views.prepare(spark, sf_dir)
-        self.spark = spark
+        self.spark, self.sf_dir = spark, sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.sql(views.VIEWS[name])
+        return views.view(self.spark, self.sf_dir, name)
 
     def fact(self, name: str) -> DataFrame:
         return facts.valid(self.raw(name), name)
@@ -209,8 +208,7 @@ register(
 def _privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lampyris.functions.text import hashed_ip, text_hash
 
-    views.prepare(spark, sf_dir)
-    return spark.table("documents").select(
+    return views.table(spark, sf_dir, "documents").select(
         "doc_id", text_hash(F.col("text")).alias("text_hash"), F.length("text").alias("text_chars"),
         hashed_ip(F.col("source"), "salt").alias("source_hash"),
     )

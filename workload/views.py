@@ -7,6 +7,8 @@ and contain rows that break the quality rules.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -272,23 +274,22 @@ FACTS = (
 ).split()
 
 
-def prepare(spark: SparkSession, sf_dir: str) -> None:
-    """Register the given tables; views resolve against them."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    for name in TABLES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-
+_READ: dict[tuple[str, int, str, str], DataFrame] = {}
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    prepare_once(spark, sf_dir)
-    return spark.sql(VIEWS[name])
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its file listing and schema are read once per session."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
+    if key not in _READ:
+        _READ[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _READ[key]
 
-_PREPARED: dict[int, str] = {}
 
-
-def prepare_once(spark: SparkSession, sf_dir: str) -> None:
-    if _PREPARED.get(id(spark)) != sf_dir:
-        prepare(spark, sf_dir)
-        _PREPARED.clear()
-        _PREPARED[id(spark)] = sf_dir
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A derived raw fact or dimension."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    sql = VIEWS[name]
+    for given in TABLES:
+        if re.search(rf"\b(from|join) {given}\b", sql):
+            table(spark, sf_dir, given).createOrReplaceTempView(given)
+    return spark.sql(sql)
