@@ -1,0 +1 @@
+"""Structured Streaming jobs that reuse the batch operators."""
