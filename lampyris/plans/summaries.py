@@ -483,9 +483,16 @@ def _evaluations_by_prompt(evaluations: DataFrame, unique_requests: DataFrame) -
     return _PROMPT_EVALUATIONS.finish(attributed)
 
 
-def platform_health_daily(observations: DataFrame) -> DataFrame:
-    """Worst value per metric and day; a value equal to the bound is no breach."""
-    worst = observations.groupBy("date", "component", "metric_name").agg(
-        F.max("metric_value").alias("metric_value"), F.max("threshold").alias("threshold")
-    )
+PLATFORM_DAILY = Rollup(
+    ("date", "component", "metric_name"), (peak("metric_value", "metric_value"), peak("threshold", "threshold"))
+)
+
+
+def with_breach(worst: DataFrame) -> DataFrame:
+    """A value equal to the bound is no breach."""
     return worst.withColumn("is_breach", F.col("metric_value") > F.col("threshold"))
+
+
+def platform_health_daily(observations: DataFrame) -> DataFrame:
+    """Worst value per component, metric and day."""
+    return with_breach(PLATFORM_DAILY.build(observations))

@@ -13,7 +13,7 @@ import time
 import duckdb
 from pyspark.sql import SparkSession
 
-from workload.queries import ORACLES, QUERIES
+from workload.document_queries import ORACLES, QUERIES
 from workload.views import TABLES
 
 
@@ -38,6 +38,7 @@ def main() -> int:
     spark = (
         SparkSession.builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")

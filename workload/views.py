@@ -267,7 +267,62 @@ select distinct c_mktsegment as dataset_name, 'exp_1' as experiment_name, 'basel
   'candidate' as candidate_variant
 from customer""",
 }
-# Views that select from other views or need no derivation of their own.
+# External documents as JSON text, one per event; Spark only, the oracles read
+# the columns the text is made of.
+_AT = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS\")"
+_UNTIL = "date_format(ts + event_id % 5000 * INTERVAL '0.001' SECOND, \"yyyy-MM-dd'T'HH:mm:ss.SSS\")"
+DOCUMENTS: dict[str, str] = {
+    "generation": f"""
+select concat('{{"id":"gen_', event_id, '","traceId":"trace_', user_id, '","type":"', if(event_id % 53 = 0, 'SPAN', 'GENERATION'),
+  '","startTime":"', {_AT}, 'Z","endTime":"', {_UNTIL}, 'Z","model":"model_', event_id % 4, '","level":"',
+  if(event_type = 'error', 'ERROR', 'DEFAULT'), '","input":"question ', event_id % 100, '","output":{{"b":', event_id % 3, ',"a":"x"}},',
+  if(event_id % 2 = 0, concat('"usageDetails":{{"input":', event_id % 90, ',"output":', event_id % 40, ',"total":',
+    event_id % 90 + event_id % 40 + if(event_id % 37 = 0, 1, 0), '}}'),
+    concat('"usage":{{"promptTokens":', event_id % 90, ',"completionTokens":', event_id % 40, '}}')),
+  case event_id % 3 when 0 then concat(',"costDetails":{{"total":0.', lpad(cast(event_id % 1000 as string), 4, '0'), '}}') else '' end,
+  ',"trace":{{"name":"flow_', event_id % 5, '","userId":"user_', user_id, '","sessionId":"session_', user_id % 7,
+  '","metadata":{{"app_name":"app_', event_id % 3, '","environment":"dev","provider":"low"}}}},"metadata":{{"provider":"p', user_id % 3,
+  '","prompt_category":"c","prompt_id":"prompt_', event_id % 9, '","prompt_version":"v', event_id % 2, '"',
+  if(event_id % 11 = 0, '', ',"region":"us"'), if(event_id % 3 = 1, concat(',"estimated_cost_usd":0.', lpad(cast(event_id % 1000 as string), 4, '0')), ''),
+  '}}}}') as value, event_id from events""",
+    "score": f"""
+select concat('{{"id":"score_', event_id, '","observationId":"req_', event_id % 500, '","timestamp":"', {_AT}, 'Z",',
+  case event_id % 6 when 0 then '"source":"USER","name":"thumbs-up","value":1'
+    when 1 then concat('"source":"MANUAL","name":"rating","value":', event_id % 8)
+    when 2 then concat('"source":"EVALUATOR","name":"answer faithfulness","value":', cast(event_id % 120 as double) / 100,
+      ',"config":{{"passThreshold":0.7}}')
+    when 3 then '"source":"API","name":"quality","value":0.5'
+    when 4 then '"source":"USER","name":"relevance","value":0.5'
+    else concat('"source":"AUTOMATED","name":"toxicity","value":', cast(event_id % 100 as double) / 100) end,
+  ',"metadata":{{"app_name":"app_', user_id % 3, '","feature_name":"f"}}}}') as value from events""",
+    "trace": f"""
+select concat('{{"id":"trace_', event_id, '","name":"flow","userId":"user_', user_id, '","sessionId":"s_', user_id % 7,
+  '","metadata":{{"agent_id":"agent_', user_id % 5, '","agent_name":"a","app_name":"app","environment":"dev"',
+  if(event_id % 4 = 0, '', concat(',"run_id":"run_', event_id, '","task_type":"t"')), '}},"observations":[',
+  '{{"id":"span_', event_id, '","type":"SPAN","name":"root","startTime":"', {_AT}, 'Z","endTime":"', {_UNTIL}, 'Z"}},',
+  '{{"id":"tool_', event_id, '","type":"TOOL","name":"tool_', event_id % 6, '","parentObservationId":"span_', event_id,
+  '","startTime":"', {_AT}, 'Z","input":{{"q":', event_id % 10, '}},"output":"done","level":"', if(event_type = 'error', 'ERROR', 'DEFAULT'),
+  '","metadata":{{"duration_ms":', event_id % 700, '}}}},',
+  '{{"id":"ret_', event_id, '","type":"RETRIEVER","startTime":"', {_AT}, 'Z","input":"q","output":[{{"score":0.5}},{{"score":0.25}}],',
+  '"metadata":{{"knowledge_base_id":"kb","embedding_model":"e","retrieval_strategy":"h","top_k":', event_id % 4,
+  ',"latency_ms":', event_id % 900 + 1, '}}}},',
+  '{{"id":"gen_', event_id, '","type":"GENERATION","startTime":"', {_AT}, 'Z","usageDetails":{{"total":', event_id % 50, '}}}}',
+  if(event_id % 13 = 0, concat(',{{"id":"odd_', event_id, '","type":"EVENT"}}'), ''),
+  '],"scores":[{{"id":"sc_', event_id, '","source":"USER","name":"like","value":1,"timestamp":"', {_AT}, 'Z"}}]}}') as value
+from events""",
+    # Eight turns of a conversation make one trajectory, so a document is
+    # bounded however long a conversation gets.
+    "trajectory": """
+select concat('{"prompt_index":', conv_id, ',"conversations":[',
+  array_join(transform(array_sort(collect_list(struct(turn, role, text))), x -> concat('{"from":"',
+    case x.role when 'user' then 'human' when 'assistant' then 'gpt' else x.role end, '","value":',
+    substring(to_json(array(x.text)), 2, length(to_json(array(x.text))) - 2), '}')), ','),
+  '],"metadata":{"timestamp":"2026-01-15T10:30:00Z","session_id":"conv_', conv_id, '_', block, '"},"completed":',
+  if(block % 2 = 0, 'true', 'false'), '}') as value
+from (select conv_id, turn, turn div 8 as block, min(role) as role, min(text) as text from conversations
+  group by conv_id, turn) t
+group by conv_id, block""",
+}
 FACTS = (
     "llm_request agent_run agent_span tool_call model_deployment retrieval feedback guardrail evaluation access_audit "
     "data_retention handoff platform_health"
@@ -288,7 +343,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived raw fact or dimension."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    sql = VIEWS[name]
+    return _resolved(spark, sf_dir, VIEWS[name])
+
+
+def documents(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """External documents of one kind, one JSON text per row."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return _resolved(spark, sf_dir, DOCUMENTS[name])
+
+
+def _resolved(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     for given in TABLES:
         if re.search(rf"\b(from|join) {given}\b", sql):
             table(spark, sf_dir, given).createOrReplaceTempView(given)
