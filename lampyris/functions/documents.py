@@ -9,6 +9,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.sql import DataFrame
+
+
+def settled(frame: DataFrame) -> DataFrame:
+    """Keep filters above from being pushed into long column expressions.
+
+    Catalyst substitutes a filter's columns by their definitions when it moves
+    the filter down; through several layers of derived columns that multiplies
+    the work.  A one-row generator ends the substitution.
+    """
+    names = ", ".join(f"'{c}', `{c}`" for c in frame.columns)
+    return frame.selectExpr(f"inline(array(named_struct({names})))")
+
+
+def parsed(lines: DataFrame, column: str, name: str) -> DataFrame:
+    """JSON text as a VARIANT column, parsed once per row; unparsable rows are dropped."""
+    return settled(lines.selectExpr(f"try_parse_json({column}) as {name}")).where(f"{name} is not null")
+
 
 def at(root: str, path: str) -> str:
     return f"try_variant_get({root}, '$.{path}', 'variant')"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lampyris.contracts import LLM_REQUEST
-from lampyris.functions.documents import columns, elapsed_ms, first_of, integer, layered, one_of, real, sha, text, truth
+from lampyris.functions.documents import columns, elapsed_ms, first_of, integer, layered, one_of, real, settled, sha, text, truth
 from lampyris.operators.quality import ERRORS, REJECTED, STATUS, VALID, with_source_evidence
 from lampyris.plans.adapters import observation as obs
 
@@ -125,7 +125,7 @@ def normalize(lines: DataFrame, column: str = "value", deduplicate: bool = True)
     evidence = with_source_evidence(
         checked, "langfuse", "generation", F.col("_source_id"), None, F.col("_payload_hash")
     )
-    return evidence.drop("_type", "_payload_hash")
+    return settled(evidence.drop("_type", "_payload_hash"))
 
 
 def requests(normalized: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from lampyris.contracts import EVALUATION, FEEDBACK
 from lampyris.functions.documents import (
-    at, columns, first_of, instant, integer, is_set, layered, one_of, overlay, real, sha, signal, text, text_map, truth,
+    at, columns, first_of, instant, integer, is_set, layered, one_of, overlay, parsed, real, settled, sha, signal, text,
+    text_map, truth,
 )
 from lampyris.operators.quality import ERRORS, REJECTED, STATUS, VALID, with_source_evidence
 from lampyris.plans.adapters.observation import labels, missing
@@ -227,13 +228,12 @@ def normalize(scores: DataFrame) -> DataFrame:
     evidence = with_source_evidence(
         checked, "langfuse", "score_event", F.col("_source_id"), F.col("_evidence_trace"), F.col("payload_hash")
     )
-    return evidence.drop("payload_hash", "_evidence_trace")
+    return settled(evidence.drop("payload_hash", "_evidence_trace"))
 
 
 def standalone(lines: DataFrame, column: str = "value") -> DataFrame:
     """Score documents without trace context, ready for ``normalize``."""
-    parsed = lines.selectExpr(f"try_parse_json({column}) as s", f"{NO_CONTEXT} as t")
-    return parsed.where("s is not null")
+    return parsed(lines, column, "s").selectExpr("s", f"{NO_CONTEXT} as t")
 
 
 def _facts(normalized: DataFrame, score_class: str, contract, key: str) -> DataFrame:

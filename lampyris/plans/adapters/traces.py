@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from lampyris.contracts import AGENT_RUN, AGENT_SPAN, RETRIEVAL, TOOL_CALL, FactContract
 from lampyris.functions.documents import (
-    at, columns, elapsed_ms, first_of, integer, json_list, layered, layered_variant, objects, one_of, overlay, present, real,
-    sha, text, text_map, variant_of, variants,
+    at, columns, elapsed_ms, first_of, integer, json_list, layered, layered_variant, objects, one_of, overlay, parsed, present,
+    real, settled, sha, text, text_map, variant_of, variants,
 )
 from lampyris.operators.quality import ERRORS, REJECTED, STATUS, VALID, with_source_evidence
 from lampyris.plans.adapters import observation as obs
@@ -67,10 +67,9 @@ def _end(record: str, md: str) -> str:
 
 def documents(lines: DataFrame, column: str = "value") -> DataFrame:
     """One row per trace document with its context and per-trace roll-ups."""
-    parsed = lines.selectExpr(f"try_parse_json({column}) as r").where("r is not null")
     inner = present(at("r", "trace"))
     is_object = f"try_variant_get(({inner}), '$', 'map<string,variant>') is not null"
-    opened = parsed.selectExpr("r", f"if({is_object}, {inner}, r) as t").selectExpr(
+    opened = parsed(lines, column, "r").selectExpr("r", f"if({is_object}, {inner}, r) as t").selectExpr(
         "r", "t", f"{text_map(at('t', 'metadata'))} as tm",
         f"coalesce({objects(variants(variant_of('r', 'observations', 'trace.observations')))}, array()) as raw_os",
         f"coalesce({objects(variants(one_of(variant_of('r', *_SCORE_LISTS), variant_of('t', *_SCORE_LISTS))))}, array()) as ss",
@@ -109,7 +108,7 @@ def documents(lines: DataFrame, column: str = "value") -> DataFrame:
     )
     checks = obs.missing("trace_envelope", _ENVELOPE_REQUIRED)
     dated = rolled.selectExpr("*", "started as created_at", "cast(started as date) as date")
-    return dated.withColumn("envelope_errors", F.expr(obs.labels(checks)))
+    return settled(dated.withColumn("envelope_errors", F.expr(obs.labels(checks))))
 
 
 def _intact(traces: DataFrame) -> DataFrame:
@@ -132,7 +131,7 @@ def _checked(frame: DataFrame, checks: list[tuple[str, str]], entity: str, sourc
     labelled = labelled.withColumn(STATUS, F.expr(f"if(size({ERRORS}) = 0, '{VALID}', '{REJECTED}')"))
     source_id = F.expr(text(first_of(source, "id", "observationId", "traceId")))
     payload = F.expr(f"sha2(cast({source} as string), 256)")
-    return with_source_evidence(labelled, "langfuse", entity, source_id, F.expr(source_trace), payload).drop(source)
+    return settled(with_source_evidence(labelled, "langfuse", entity, source_id, F.expr(source_trace), payload).drop(source))
 
 
 def runs(traces: DataFrame) -> DataFrame:

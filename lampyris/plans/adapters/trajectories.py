@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from lampyris.contracts import AGENT_RUN, AGENT_SPAN, TOOL_CALL, FactContract
 from lampyris.functions.documents import (
-    at, columns, first_of, integer, layered, objects, one_of, real, spaced_json, text_map, variants,
+    at, columns, first_of, integer, layered, objects, one_of, parsed, real, spaced_json, text_map, variants,
 )
 
 _STEP_MS = 100
@@ -38,8 +38,7 @@ def _id(prefix: str, *json_parts: str) -> str:
 
 def documents(lines: DataFrame, column: str = "value") -> DataFrame:
     """One row per trajectory with its laid-out spans (array ``items``)."""
-    parsed = lines.selectExpr(f"try_parse_json({column}) as r").where("r is not null")
-    opened = parsed.selectExpr(
+    opened = parsed(lines, column, "r").selectExpr(
         "r",
         f"{text_map(at('r', 'metadata'))} as md",
         f"coalesce({objects(variants(at('r', 'conversations')))}, array()) as turns",
