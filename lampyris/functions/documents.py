@@ -56,11 +56,13 @@ def text_map(variant: str) -> str:
     return f"coalesce(try_variant_get({variant}, '$', 'map<string,string>'), cast(map() as map<string,string>))"
 
 
-def overlay(*maps: str) -> str:
-    """Maps merged, topmost first.  A key an upper map names with null hides the lower one's value."""
-    empty = "cast(map() as map<string,string>)"
-    step = "map_concat(acc, map_filter(layer, (k, v) -> not map_contains_key(acc, k)))"
-    return f"aggregate(array({', '.join(maps)}), {empty}, (acc, layer) -> {step})"
+def overlay(upper: str, lower: str) -> str:
+    """Merged maps.  A key the upper map names with null hides the lower one's value.
+
+    Pass column or field names: each map is mentioned several times.
+    """
+    rest = f"map_filter({lower}, (k, v) -> not map_contains_key({upper}, k))"
+    return f"case when size({lower}) = 0 then {upper} when size({upper}) = 0 then {lower} else map_concat({upper}, {rest}) end"
 
 
 def layered(merged: str, *keys: str) -> str:
@@ -81,8 +83,8 @@ def text(variant: str, default: str | None = "") -> str:
 
 def integer(value: str, default: int | str | None = None) -> str:
     """Whole number; a fractional number is cut off."""
-    whole = f"coalesce(try_cast({value} as bigint), try_cast(try_cast({value} as double) as bigint)"
-    return f"{whole})" if default is None else f"{whole}, {default})"
+    whole = f"try_cast(try_cast({value} as decimal(38,6)) as bigint)"
+    return whole if default is None else f"coalesce({whole}, {default})"
 
 
 def real(variant: str, default: float | None = None) -> str:
@@ -101,8 +103,8 @@ def is_set(variant: str) -> str:
 
 def instant(variant: str) -> str:
     """ISO-8601 text as a timestamp; text without an offset is UTC."""
-    value = f"cast({variant} as string)"
-    return f"if({value} rlike '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([T ].*)?$', try_cast({value} as timestamp), null)"
+    dated = f"regexp_extract(cast({variant} as string), '^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([T ].*)?)$', 1)"
+    return f"try_cast({dated} as timestamp)"
 
 
 def elapsed_ms(start: str, end: str) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lampyris.contracts import LLM_REQUEST
-from lampyris.functions.documents import columns, elapsed_ms, first_of, integer, layered, one_of, real, settled, sha, text, truth
+from lampyris.functions.documents import columns, elapsed_ms, first_of, integer, layered, one_of, overlay, real, settled, sha, text, truth
 from lampyris.operators.quality import ERRORS, REJECTED, STATUS, VALID, with_source_evidence
 from lampyris.plans.adapters import observation as obs
 
@@ -36,8 +36,11 @@ def normalize(lines: DataFrame, column: str = "value", deduplicate: bool = True)
         source = lines.selectExpr(
             f"sha2(cast(try_parse_json({column}) as string), 256) as _payload_hash", f"{column} as _text"
         ).where("_payload_hash is not null")
-    records = source.selectExpr("_payload_hash", "parse_json(_text) as r").selectExpr(
-        "_payload_hash", "r", f"{obs.own_metadata('r')} as md"
+    own, embedded = obs.metadata_parts("r")
+    records = (
+        source.selectExpr("_payload_hash", "parse_json(_text) as r")
+        .selectExpr("_payload_hash", "r", f"{own} as own", f"{embedded} as embedded")
+        .selectExpr("_payload_hash", "r", f"{overlay('own', 'embedded')} as md")
     )
     md = "md"
     basics = records.selectExpr(

@@ -69,8 +69,14 @@ def normalize(scores: DataFrame) -> DataFrame:
 
     ``scores`` has VARIANT columns ``s`` (the score) and ``t`` (trace context).
     """
-    tags = overlay(*[text_map(at("s", layer)) for layer in _LAYERS], text_map(at("t", "metadata")))
-    merged = scores.selectExpr("s", "t", f"{text_map(at('t', 'metadata'))} as tm", f"{tags} as tags")
+    layers = [f"m{i}" for i in range(len(_LAYERS))]
+    merged = scores.selectExpr(
+        "s", "t", f"{text_map(at('t', 'metadata'))} as tm", *[f"{text_map(at('s', p))} as {n}" for n, p in zip(layers, _LAYERS)]
+    ).withColumn("tags", F.col(layers[0]))
+    for layer in (*layers[1:], "tm"):
+        # Settled step by step: every merge mentions the one before it.
+        merged = settled(merged.withColumn("tags", F.expr(overlay("tags", layer))))
+    merged = merged.select("s", "t", "tm", "tags")
 
     def m(*keys: str) -> str:
         return layered("tags", *keys)

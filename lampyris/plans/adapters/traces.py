@@ -75,10 +75,11 @@ def documents(lines: DataFrame, column: str = "value") -> DataFrame:
         f"coalesce({objects(variants(one_of(variant_of('r', *_SCORE_LISTS), variant_of('t', *_SCORE_LISTS))))}, array()) as ss",
     )
     # Each observation with its own metadata and the one merged over the trace's.
-    opened = opened.withColumn(
-        "own_os", F.expr(f"transform(raw_os, x -> named_struct('v', x, 'own', {obs.own_metadata('x')}))")
-    ).withColumn("os", F.expr(f"transform(own_os, x -> named_struct('v', x.v, 'own', x.own, 'md', {overlay('x.own', 'tm')}))"))
-    opened = opened.drop("raw_os", "own_os")
+    own, embedded = obs.metadata_parts("x")
+    staged = opened.withColumn("os", F.expr(f"transform(raw_os, x -> named_struct('v', x, 'a', {own}, 'b', {embedded}))"))
+    staged = staged.withColumn("os", F.expr(f"transform(os, x -> named_struct('v', x.v, 'own', {overlay('x.a', 'x.b')}))"))
+    merged_os = f"transform(os, x -> named_struct('v', x.v, 'own', x.own, 'md', {overlay('x.own', 'tm')}))"
+    opened = staged.withColumn("os", F.expr(merged_os)).drop("raw_os")
 
     def m(*keys: str) -> str:
         return layered("tm", *keys)
@@ -93,19 +94,10 @@ def documents(lines: DataFrame, column: str = "value") -> DataFrame:
             meta_run=text(m("run_id", "agent_run_id")),
             meta_task=text(m("task_type", "agent_task_type")),
             started=f"coalesce({obs.start_time('t')}, array_min(transform(os, o -> {obs.start_time('o.v')})))",
-            ended=f"coalesce({obs.end_time('t')}, array_max(transform(os, o -> {_end('o.v', 'o.md')})))",
-            types=f"transform(os, o -> {_type('o.v')})",
         ),
     )
-    statuses = f"transform(os, o -> {obs.status('o.v', 'o.md')})"
     run = "(meta_run <> '' and meta_task <> '')"
-    stated = f"lower({text(m('status'))})"
-    rolled = named.selectExpr(
-        "*", f"{run} as has_run", f"if({run}, meta_run, '') as run_id",
-        f"case when {stated} in ('success', 'error') then {stated} "
-        f"when lower({text(first_of('t', 'level'))}) in ('error', 'fatal') then 'error' "
-        f"when array_contains({statuses}, 'error') then 'error' else 'success' end as status",
-    )
+    rolled = named.selectExpr("*", f"{run} as has_run", f"if({run}, meta_run, '') as run_id")
     checks = obs.missing("trace_envelope", _ENVELOPE_REQUIRED)
     dated = rolled.selectExpr("*", "started as created_at", "cast(started as date) as date")
     return settled(dated.withColumn("envelope_errors", F.expr(obs.labels(checks))))
@@ -152,7 +144,17 @@ def runs(traces: DataFrame) -> DataFrame:
     trace_message = text(first_of("t", "statusMessage", "status_message"), "trace_error")
     input_text = text(one_of(first_of("t", "input"), m("input")))
     output_text = text(one_of(first_of("t", "output"), m("output")))
-    events = _intact(traces).where("has_run").selectExpr(
+    statuses = f"transform(os, o -> {obs.status('o.v', 'o.md')})"
+    stated = f"lower({text(m('status'))})"
+    rolled = _intact(traces).where("has_run").selectExpr(
+        "*",
+        f"coalesce({obs.end_time('t')}, array_max(transform(os, o -> {_end('o.v', 'o.md')}))) as ended",
+        f"transform(os, o -> {_type('o.v')}) as types",
+        f"case when {stated} in ('success', 'error') then {stated} "
+        f"when lower({text(first_of('t', 'level'))}) in ('error', 'fatal') then 'error' "
+        f"when array_contains({statuses}, 'error') then 'error' else 'success' end as status",
+    )
+    events = rolled.selectExpr(
         "r",
         *columns(
             run_id="meta_run",
@@ -208,10 +210,12 @@ def _exploded(traces: DataFrame, options: Sequence[str]) -> DataFrame:
             own_trace=f"coalesce({text(first_of('o', 'traceId', 'trace_id'), None)}, doc_trace_id)",
             own_run=f"if(has_run, doc_run_id, {text(layered('md', 'run_id'))})",
             started=obs.start_time("o"),
-            ended=_end("o", "md"),
-            took=_duration("o", "md"),
+            end_given=obs.end_time("o"),
+            stated_ms=integer(layered("md", "duration_ms", "latency_ms")),
             own_status=obs.status("o", "md"),
         ),
+    ).selectExpr("*", f"coalesce({elapsed_ms('started', 'end_given')}, stated_ms) as took").selectExpr(
+        "*", "coalesce(end_given, timestampadd(MILLISECOND, took, started)) as ended"
     )
 
 

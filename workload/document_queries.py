@@ -26,9 +26,12 @@ def _generations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generations.normalize(replayed)
 
 
+# Milliseconds are cut off after a float product of seconds, as the data model
+# defines them: 2.010 s is 2009 ms.
+_GEN_MS = "cast(floor((cast(event_id % 5000 * 1000 as double) / 1000000) * 1000) as integer)"
 _GEN = f"""
 select event_id, concat('gen_', event_id) as request_id, {_MS} as created_at, cast({_MS} as date) as date,
-  cast(event_id % 5000 as integer) as latency_ms, cast(event_id % 90 as integer) as prompt_tokens,
+  {_GEN_MS} as latency_ms, cast(event_id % 90 as integer) as prompt_tokens,
   cast(event_id % 40 as integer) as completion_tokens, cast(event_id % 90 + event_id % 40
     + case when event_id % 74 = 0 then 1 else 0 end as integer) as total_tokens, user_id, event_type,
   concat_ws(',', case when event_id % 11 = 0 then 'completeness:missing_region' end,

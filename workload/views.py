@@ -347,9 +347,15 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """External documents of one kind, one JSON text per row."""
+    """External documents of one kind, one JSON text per row.
+
+    Building the text makes the rows many times larger than the columns they
+    come from, so a source of few splits is spread over the cores first.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return _resolved(spark, sf_dir, DOCUMENTS[name])
+    docs = _resolved(spark, sf_dir, DOCUMENTS[name])
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
 
 
 def _resolved(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
