@@ -2,7 +2,8 @@
 
 BENCH_SF_DIR  test tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
-BENCH_RUNS    timed runs after one warm-up; the median counts (default 3)
+BENCH_RUNS    timed runs, the median counts (default 1)
+BENCH_WARMUP  untimed runs of each query before (default 0; the first query always gets one)
 BENCH_QUERIES comma-separated subset
 """
 
@@ -49,8 +50,9 @@ def consume(frame: DataFrame) -> None:
     frame.write.format("noop").mode("overwrite").save()
 
 
-def timed(run, runs: int) -> float:
-    run()
+def timed(run, runs: int, warmup: int) -> float:
+    for _ in range(warmup):
+        run()
     took = []
     for _ in range(runs):
         started = time.perf_counter()
@@ -59,7 +61,7 @@ def timed(run, runs: int) -> float:
     return round(statistics.median(took), 3)
 
 
-def backfill_seconds(spark: SparkSession, sf_dir: str, runs: int) -> tuple[float, int]:
+def backfill_seconds(spark: SparkSession, sf_dir: str, runs: int, warmup: int) -> tuple[float, int]:
     """JSON lines to typed, validated facts, rejects and the daily summary."""
     from lampyris.plans.backfill import backfill_requests
 
@@ -67,23 +69,24 @@ def backfill_seconds(spark: SparkSession, sf_dir: str, runs: int) -> tuple[float
     source = views.view(spark, sf_dir, "llm_request")
     source.write.json(f"{root}/raw")
     rows = spark.read.text(f"{root}/raw").count()
-    return timed(lambda: backfill_requests(spark, f"{root}/raw", f"{root}/warehouse"), runs), rows
+    return timed(lambda: backfill_requests(spark, f"{root}/raw", f"{root}/warehouse"), runs, warmup), rows
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    warmup = int(os.environ.get("BENCH_WARMUP", "0"))
     wanted = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or list(HEADLINE)
     spark = session(cpus)
     results = {}
     for name in wanted:
         if name in QUERIES:
-            results[name] = timed(lambda n=name: consume(QUERIES[n](spark, sf_dir)), runs)
+            results[name] = timed(lambda n=name: consume(QUERIES[n](spark, sf_dir)), runs, warmup if results else max(warmup, 1))
             print(f"{name} {results[name]}", file=sys.stderr, flush=True)
     extra = {}
     if not os.environ.get("BENCH_QUERIES"):
-        seconds, rows = backfill_seconds(spark, sf_dir, runs)
+        seconds, rows = backfill_seconds(spark, sf_dir, runs, warmup)
         results["backfill_requests_json"] = seconds
         extra = {"backfill_rows": rows, "backfill_rows_per_sec": round(rows / seconds)}
     line = {

@@ -200,7 +200,7 @@ register(
 register(
     "text_privacy_columns",
     lambda spark, sf_dir: _privacy(spark, sf_dir),
-    "select doc_id, sha256(text) as text_hash, length(text) as text_chars, sha256(concat('salt:', source)) as source_hash "
+    "select doc_id, sha256(text) as text_hash, cast(length(text) as integer) as text_chars, sha256(concat('salt:', source)) as source_hash "
     "from documents",
 )
 
