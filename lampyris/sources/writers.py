@@ -63,10 +63,12 @@ def overwrite_all(frame: DataFrame, path: str) -> None:
 
 
 def write_validated(validated: DataFrame, path: str, name: str = "validated") -> dict[str, int]:
-    """Valid and rejected rows in one pass, split by status and date; returns counts.
+    """Valid and rejected rows side by side per date in one pass; returns counts.
 
-    The source is scanned once: both outputs come from one write and the counts
-    from metrics observed while writing.
+    The source is scanned once: both kinds come from one write and the counts
+    from metrics observed while writing.  Status is a stored column rather than
+    a directory, so loading a date again replaces its valid and its rejected
+    rows together, also when one kind is gone.
     """
     seen = Observation(name)
     observed = validated.observe(
@@ -75,7 +77,7 @@ def write_validated(validated: DataFrame, path: str, name: str = "validated") ->
         F.count_if(F.col(STATUS) == VALID).alias("valid_rows"),
         F.count_if(F.col(STATUS) == REJECTED).alias("rejected_rows"),
     )
-    overwrite_dates(observed, path, by=(STATUS, "date"))
+    overwrite_dates(observed, path)
     return {key: int(value) for key, value in seen.get.items()}
 
 
