@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lampyris.llm.components import components
 from lampyris.llm.scratch import materialise
@@ -313,3 +313,19 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     return result.select(
         real("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce(real("root"), real("doc_id")).alias("component_id"), "cover",
     )
+
+
+def without_similar(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, less all but the smallest doc_id of each component, and one row for each doc_id.
+
+    Rows without a doc_id stay, as nothing can stand for them.
+    """
+    dropped = materialise(similar_documents(docs).where("doc_id <> component_id").select("doc_id"), "similar")
+    rest = docs.where("doc_id is not null").join(dropped, "doc_id", "left_anti")
+    name = "copy_no"
+    while name in docs.columns:
+        name += "_"
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    one = rest.withColumn(name, F.row_number().over(order)).where(F.col(name) == 1)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return one.select(columns).unionByName(docs.where("doc_id is null").select(columns))

@@ -4,19 +4,127 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lampyris.llm.fertility import quality_rules
+from lampyris.llm.licenses import license_scan
+from lampyris.llm.mixing import SEED, TERMS, mixed
 from lampyris.llm.ngram_join import similar_documents
+from lampyris.llm.packing import pack, token_pieces
+from lampyris.llm.preferences import last_reply_pairs, preference_segments
+from lampyris.llm.search import B, DIGITS, K1, build_index, search
+from lampyris.llm.secrets import secret_scan
+from lampyris.llm.token_counts import context_limits, length_histogram
+from lampyris.llm.toxicity import toxicity
+
+TOP = 10
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each encoded length of a document: what it means as a context limit."""
+    return context_limits(length_histogram(_read(spark, sf_dir, "documents")))
+
+
+def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of `benchmark` whose item_id is divisible by 20, searched for in all documents."""
+    asked = _read(spark, sf_dir, "benchmark").where("item_id % 20 = 0").select(F.col("item_id").alias("query_id"), "text")
+    return search(build_index(_read(spark, sf_dir, "documents")), asked, TOP)
+
+
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     return similar_documents(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, repeated so that each source gives the same share of the text."""
+    return mixed(_read(spark, sf_dir, "documents"))
+
+
+def best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document's pieces in sequences of 1024 tokens."""
+    return pack(token_pieces(_read(spark, sf_dir, "documents")))
+
+
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates in every document."""
+    return license_scan(_read(spark, sf_dir, "documents"))
+
+
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate by its digest, with the forest's verdict."""
+    found = secret_scan(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "place", F.length("candidate").alias("n_chars"), F.sha2("candidate", 256).alias("digest"), "score", "is_secret")
+
+
+def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of prompts and masked completions from all conversations."""
+    return preference_segments(*last_reply_pairs(_read(spark, sf_dir, "conversations")))
+
+
+def fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    return quality_rules(_read(spark, sf_dir, "documents"))
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_token_counts": token_counts,
+    "op2_bm25_search": bm25_search,
     "op3_ngram_jaccard_join": ngram_jaccard,
+    "op4_source_mixing": source_mixing,
+    "op5_best_two_fit_packing": best_two_fit,
+    "op6_license_scan": licenses,
+    "op7_secret_scan": secrets,
+    "op8_preference_pairs": preference_pairs,
+    "op9_fertility_rules": fertility_rules,
+    "op10_toxicity": toxicity_scores,
+}
+
+_FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ORACLES = {
+    "op2_bm25_search": f"""
+WITH q AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all({_FOLD.format('text')}, '{_ALNUM}')) AS word FROM benchmark WHERE item_id % 20 = 0),
+d AS (SELECT doc_id, regexp_extract_all({_FOLD.format('text')}, '{_ALNUM}') AS words FROM documents),
+stats AS (SELECT count(*) AS n, sum(len(words)) / count(*) AS mean FROM d),
+p AS (SELECT doc_id, len(words) AS size, unnest(words) AS word FROM d),
+tf AS (SELECT doc_id, size, word, count(*) AS tf FROM p WHERE word IN (SELECT word FROM q) GROUP BY ALL),
+df AS (SELECT word, count(*) AS df FROM tf GROUP BY word),
+s AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * {K1 + 1} / (tf + {K1} * (1 - {B} + {B} * size / mean))), {DIGITS}) AS score
+      FROM q JOIN tf USING (word) JOIN df USING (word), stats GROUP BY query_id, doc_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s)
+SELECT query_id, rank, doc_id, score FROM r WHERE rank <= {TOP}""",
+    "op4_source_mixing": f"""
+WITH s AS (SELECT source, CAST(sum(length(text)) AS DOUBLE) AS chars FROM documents GROUP BY source),
+rates AS (SELECT source, (SELECT sum(chars) FROM s) / (SELECT count(*) FROM s) / chars AS rate FROM s),
+draws AS (SELECT source, rate, greatest(1, CAST(ceil(rate / 16) AS INTEGER)) AS parts FROM rates),
+terms AS (SELECT source, parts, k, exp(-rate / parts + k * ln(rate / parts) - lgamma(k + 1)) AS p FROM draws, range({TERMS}) AS r(k)),
+cdf AS (SELECT source, parts, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms),
+tables AS (SELECT source, parts, list(c ORDER BY k) AS cdf FROM cdf GROUP BY source, parts),
+u AS (SELECT d.doc_id, t.cdf, unnest(range(t.parts)) AS part FROM documents d JOIN tables t ON d.source = t.source),
+counts AS (SELECT doc_id, CAST(sum(len(list_filter(cdf, lambda x: x <= CAST('0x' || substr(md5('{SEED}/' || part || '/' || doc_id), 1, 13) AS BIGINT) / 4503599627370496.0))) AS INTEGER) AS n_copies
+           FROM u GROUP BY doc_id)
+SELECT d.*, CAST(unnest(range(1, n_copies + 1)) AS INTEGER) AS copy, n_copies FROM documents d JOIN counts USING (doc_id)""",
+    "op8_preference_pairs": r"""
+WITH turns AS (SELECT conv_id, turn, min({'role': role, 'text': text}) AS said FROM conversations GROUP BY conv_id, turn),
+replied AS (SELECT conv_id, max(turn) AS final FROM turns WHERE said.role = 'assistant' GROUP BY conv_id),
+chosen AS (SELECT conv_id, turn, said FROM turns JOIN replied USING (conv_id) WHERE turn <= final),
+replies AS (SELECT conv_id, final, said.text AS reply FROM turns JOIN replied USING (conv_id) WHERE turn = final),
+rejected AS (SELECT conv_id, turn, said FROM chosen JOIN replied USING (conv_id) WHERE turn < final
+  UNION ALL SELECT a.conv_id, a.final, {'role': 'assistant', 'text': b.reply} FROM replies a JOIN replies b ON b.conv_id = xor(a.conv_id, 1)),
+sides AS (SELECT conv_id, turn, c.said AS c, r.said AS r FROM chosen c FULL JOIN rejected r USING (conv_id, turn)),
+fork AS (SELECT conv_id, min(turn) FILTER (c IS NULL OR r IS NULL OR c IS DISTINCT FROM r) AS fork FROM sides GROUP BY conv_id),
+parts AS (
+  SELECT conv_id, 'prompt' AS part, turn, c AS said FROM sides JOIN fork USING (conv_id) WHERE fork IS NULL OR turn < fork
+  UNION ALL SELECT conv_id, 'chosen', turn, c FROM sides JOIN fork USING (conv_id) WHERE turn >= fork AND c IS NOT NULL
+  UNION ALL SELECT conv_id, 'rejected', turn, r FROM sides JOIN fork USING (conv_id) WHERE turn >= fork AND r IS NOT NULL)
+SELECT conv_id AS pair_id, part, turn, said.role AS role, '<|' || coalesce(said.role, '') || '|>' || chr(10) || coalesce(said.text, '') || chr(10) || '<|end|>' || chr(10) AS rendered,
+  CAST(part <> 'prompt' AND coalesce(said.role = 'assistant', false) AS INTEGER) AS loss_mask FROM parts""",
 }
-ORACLES: dict[str, str] = {}
