@@ -21,7 +21,7 @@ _ORDERS = "orders o join customer c on o.o_custkey = c.c_custkey"
 VIEWS: dict[str, str] = {
     "llm_request": f"""
 select v.*, prompt_tokens + completion_tokens as total_tokens,
-  cast(prompt_tokens * 14 + completion_tokens * 28 as double) / 100000000 as estimated_cost_usd
+  cast(cast(prompt_tokens * 14 + completion_tokens * 28 as bigint) * 1000 + latency_ms % 991 as double) / 100000000000 as estimated_cost_usd
 from (
   select concat('req_', l_orderkey, '_', l_linenumber) as request_id,
     concat('trace_', l_orderkey) as trace_id,
@@ -45,7 +45,7 @@ from (
     cast(o_orderdate as date) as date
   from {_LINES}) v""",
     "agent_run": f"""
-select v.*, cast(total_tokens * 28 as double) / 100000000 as estimated_cost_usd
+select v.*, cast(cast(total_tokens as bigint) * 28000 + duration_ms % 991 as double) / 100000000000 as estimated_cost_usd
 from (
   select concat('run_', o_orderkey) as run_id,
     concat('trace_', o_orderkey) as trace_id,
@@ -97,7 +97,7 @@ select concat('tc_', l_orderkey, '_', l_linenumber) as tool_call_id,
   'mock' as mode, 'dev' as environment,
   o_orderdate as created_at,
   cast(o_orderdate as date) as date
-from {_LINES} where l_linenumber % 3 = 0""",
+from {_LINES}""",
     "retrieval": f"""
 select v.*, cast(avg_similarity_pct as double) / 100 as avg_similarity_score
 from (
@@ -123,7 +123,7 @@ from (
     'mock' as mode, 'dev' as environment,
     o_orderdate as created_at,
     cast(o_orderdate as date) as date
-  from {_LINES} where l_returnflag = 'N') v""",
+  from {_LINES}) v""",
     "feedback": f"""
 select concat('fb_', o_orderkey) as feedback_id,
   concat('req_', o_orderkey, '_1') as request_id,
@@ -139,7 +139,7 @@ select concat('fb_', o_orderkey) as feedback_id,
   'mock' as mode, 'dev' as environment,
   o_orderdate as created_at,
   cast(o_orderdate as date) as date
-from {_ORDERS} where o_orderkey % 2 = 0""",
+from {_ORDERS}""",
     "guardrail": f"""
 select concat('gr_', l_orderkey, '_', l_linenumber) as guardrail_event_id,
   concat('user_', o_custkey) as user_id,
@@ -156,7 +156,7 @@ select concat('gr_', l_orderkey, '_', l_linenumber) as guardrail_event_id,
   'mock' as mode, 'dev' as environment,
   o_orderdate as created_at,
   cast(o_orderdate as date) as date
-from {_LINES} where l_linenumber <= 4""",
+from {_LINES}""",
     "evaluation": f"""
 select v.*, cast(score_pct as double) / 100 as score
 from (
@@ -176,7 +176,7 @@ from (
     'mock' as mode, 'dev' as environment,
     o_orderdate as created_at,
     cast(o_orderdate as date) as date
-  from {_LINES} where l_linenumber <= 2) v""",
+  from {_LINES}) v""",
     "handoff": f"""
 select concat('ho_', o_orderkey) as orchestration_id,
   concat('trace_', o_orderkey) as trace_id,
@@ -228,7 +228,7 @@ select concat('retention_', event_id) as retention_event_id,
   concat('policy_', user_id % 3) as policy_name,
   ts as created_at,
   cast(ts as date) as date
-from events where event_id % 5 = 0""",
+from events""",
     "model_deployment": """
 select concat('deploy_', p_partkey) as deployment_id,
   concat('model_', p_partkey % 4) as model_name,
@@ -261,7 +261,7 @@ from (select distinct o_orderpriority as f from orders) t where f <> '5-LOW'""",
 select distinct concat('req_', l_orderkey, '_', l_linenumber) as request_id, c_mktsegment as dataset_name,
   'exp_1' as experiment_name,
   case when l_suppkey % 3 = 0 then 'baseline' else 'candidate' end as variant_name
-from {_LINES} where l_linenumber <= 2""",
+from {_LINES}""",
     "experiment_comparison": """
 select distinct c_mktsegment as dataset_name, 'exp_1' as experiment_name, 'baseline' as baseline_variant,
   'candidate' as candidate_variant
@@ -284,7 +284,7 @@ select concat('{{"id":"gen_', event_id, '","traceId":"trace_', user_id, '","type
   '","metadata":{{"app_name":"app_', event_id % 3, '","environment":"dev","provider":"low"}}}},"metadata":{{"provider":"p', user_id % 3,
   '","prompt_category":"c","prompt_id":"prompt_', event_id % 9, '","prompt_version":"v', event_id % 2, '"',
   if(event_id % 11 = 0, '', ',"region":"us"'), if(event_id % 3 = 1, concat(',"estimated_cost_usd":0.', lpad(cast(event_id % 1000 as string), 4, '0')), ''),
-  '}}}}') as value, event_id from events""",
+  '}}}}') as value, event_id from (select /*+ repartition(event_id) */ * from events) e""",
     "score": f"""
 select concat('{{"id":"score_', event_id, '","observationId":"req_', event_id % 500, '","timestamp":"', {_AT}, 'Z",',
   case event_id % 6 when 0 then '"source":"USER","name":"thumbs-up","value":1'
@@ -294,7 +294,7 @@ select concat('{{"id":"score_', event_id, '","observationId":"req_', event_id %
     when 3 then '"source":"API","name":"quality","value":0.5'
     when 4 then '"source":"USER","name":"relevance","value":0.5'
     else concat('"source":"AUTOMATED","name":"toxicity","value":', cast(event_id % 100 as double) / 100) end,
-  ',"metadata":{{"app_name":"app_', user_id % 3, '","feature_name":"f"}}}}') as value from events""",
+  ',"metadata":{{"app_name":"app_', user_id % 3, '","feature_name":"f"}}}}') as value from (select /*+ repartition(event_id) */ * from events) e""",
     "trace": f"""
 select concat('{{"id":"trace_', event_id, '","name":"flow","userId":"user_', user_id, '","sessionId":"s_', user_id % 7,
   '","metadata":{{"agent_id":"agent_', user_id % 5, '","agent_name":"a","app_name":"app","environment":"dev"',
@@ -309,7 +309,7 @@ select concat('{{"id":"trace_', event_id, '","name":"flow","userId":"user_', use
   '{{"id":"gen_', event_id, '","type":"GENERATION","startTime":"', {_AT}, 'Z","usageDetails":{{"total":', event_id % 50, '}}}}',
   if(event_id % 13 = 0, concat(',{{"id":"odd_', event_id, '","type":"EVENT"}}'), ''),
   '],"scores":[{{"id":"sc_', event_id, '","source":"USER","name":"like","value":1,"timestamp":"', {_AT}, 'Z"}}]}}') as value
-from events""",
+from (select /*+ repartition(event_id) */ * from events) e""",
     # Eight turns of a conversation make one trajectory, so a document is
     # bounded however long a conversation gets.
     "trajectory": """
@@ -350,12 +350,10 @@ def documents(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """External documents of one kind, one JSON text per row.
 
     Building the text makes the rows many times larger than the columns they
-    come from, so a source of few splits is spread over the cores first.
+    come from, so events are spread by their id before it.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    docs = _resolved(spark, sf_dir, DOCUMENTS[name])
-    cores = spark.sparkContext.defaultParallelism
-    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
+    return _resolved(spark, sf_dir, DOCUMENTS[name])
 
 
 def _resolved(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
