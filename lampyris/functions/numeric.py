@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money is summed as whole 1e-8 USD (the precision costs are stored with), so
-# totals do not depend on the order in which partitions are combined.
-COST_UNITS = 1e8
+# Money is summed as decimals with 18 places, so small amounts count and totals
+# do not depend on the order in which partitions are combined.
+MONEY = "decimal(38,18)"
 
 
 def cost_units(usd: Column) -> Column:
-    return F.rint(usd * F.lit(COST_UNITS)).cast("bigint")
+    return usd.cast(MONEY)
 
 
 def usd(units: Column) -> Column:
-    return units / F.lit(COST_UNITS)
+    return units.cast("double")
 
 
 def ratio(numerator: Column, denominator: Column, digits: int | None = None) -> Column:

@@ -1,6 +1,7 @@
 """Grouped summaries that stay balanced when one group holds most rows.
 
-A rollup runs in two steps.
+A rollup over complete facts is one aggregation (``build``); where batches are
+merged, or a percentile of real values is wanted, it runs in two steps.
 
 ``partials`` groups by the summary keys *plus* the value a percentile (or a
 distinct count) is taken over, keeping only additive components.  Spark
@@ -50,9 +51,9 @@ def total(name: str, value: str) -> Measure:
 
 
 def total_cost(name: str, value: str) -> Measure:
-    """Sum of USD, kept as whole 1e-8 steps until the end."""
-    units = f"sum(cast(rint({value} * 1E8D) as bigint))"
-    return Measure(name, ((f"{name}__u", units, "sum"),), f"{name}__u / 1E8D")
+    """Sum of USD, kept as decimals until the end: however small, every amount counts."""
+    units = f"sum(cast({value} as decimal(38,18)))"
+    return Measure(name, ((f"{name}__u", units, "sum"),), f"cast({name}__u as double)")
 
 
 def total_exact(name: str, value: str, if_empty: float | None = None) -> Measure:
@@ -172,13 +173,24 @@ class Rollup:
         return out.select(*self.columns) if self.columns else out
 
     def build(self, facts: DataFrame) -> DataFrame:
-        if self.percentile or self.distinct:
+        """The summary of complete facts.
+
+        A percentile of whole numbers is taken in the same single aggregation:
+        it combines on the map side and holds one entry per distinct value, so
+        a hot group costs no more than its value range.  Real values and
+        distinct counts take the two steps.
+        """
+        p = self.percentile
+        if self.distinct or (p and p.bin_width):
             return self.finish(self.partials(facts))
-        # Without a finer grain one aggregation is enough.
         parts = [F.count(F.lit(1)).alias(_ROWS)]
         parts += [F.expr(expression).alias(name) for m in self.measures for name, expression, _ in m.parts]
-        merged = facts.groupBy(*self.keys).agg(*parts)
-        out = merged.select(*self.keys, *[F.expr(m.result).alias(m.name) for m in self.measures])
+        results = [F.expr(m.result).alias(m.name) for m in self.measures]
+        if p:
+            kind = facts.schema[p.value].dataType
+            parts.append(F.expr(f"percentile_disc({p.percent}/100D) within group (order by {p.value})").cast(kind).alias(p.name))
+            results.append(F.col(p.name))
+        out = facts.groupBy(*self.keys).agg(*parts).select(*self.keys, *results)
         return out.select(*self.columns) if self.columns else out
 
     def _rank(self, of: str) -> Column:

@@ -219,9 +219,9 @@ def daily_budget(team_cost_daily: DataFrame, teams: DataFrame, agent_cost_per_mo
     daily = _team_app_daily(team_cost_daily, agent_cost_per_model)
     daily = daily.withColumn("_units", F.col("_model_units") + F.col("_agent_units"))
     spent = daily.withColumn("_spent", F.sum("_units").over(month))
-    # Month-end projection, rounded to 1e-6 USD (100 units) half up.
-    projected_units = (F.col("_spent") * F.dayofmonth(F.last_day("date"))).cast("decimal(24,0)")
-    projected = F.round(projected_units / (F.dayofmonth("date") * 100), 0).cast("double") / 1e6
+    # Month-end projection, rounded to 1e-6 USD half up.
+    projected_units = F.col("_spent").cast("decimal(24,12)") * F.dayofmonth(F.last_day("date")).cast("decimal(2,0)")
+    projected = F.round(projected_units / F.dayofmonth("date").cast("decimal(2,0)"), 6).cast("double")
     return (
         spent.join(teams.select(*_TEAM_COLUMNS), "team_id", "left")
         .withColumn("cost_mtd_amt", F.round(usd(F.col("_spent")), 6))
@@ -471,7 +471,9 @@ def variant_components(evaluations: DataFrame, requests: DataFrame, assignments:
             F.sum(F.col("_scored") * times).alias("score_denominator"),
             pairs("_latency").alias("latency_ms_numerator"),
             pairs("_timed").alias("latency_ms_denominator"),
-            usd(pairs("_cost")).alias("estimated_cost_usd_numerator"),
+            usd(F.sum((F.coalesce(F.col("_cost"), F.lit(0)).cast("decimal(24,14)") * F.col("_n").cast("decimal(13,0)")).cast("decimal(38,14)"))).alias(
+                "estimated_cost_usd_numerator"
+            ),
             pairs("_costed").alias("estimated_cost_usd_denominator"),
         )
     )

@@ -406,15 +406,16 @@ def prompt_version_daily(requests: DataFrame, evaluations: DataFrame | None = No
     requests = _with_missing(requests, request_id="", prompt_id="", prompt_version="", model_name="")
     named = requests.withColumns({c: or_unknown(F.col(c)) for c in _PROMPT_KEYS[1:]})
     request_key = ["date", "request_id"]
-    keyed = (
-        named.where(~is_blank(F.col("request_id")))
-        .groupBy(*request_key, *_PROMPT_KEYS[1:])
-        .agg(F.lit(1).alias("_one"))
-        .drop("_one")
-        .withColumn("_keys", F.count(F.lit(1)).over(Window.partitionBy(*request_key)))
-    )
+    # One row per request id: its keys are unique if the least and the greatest
+    # agree; only ids with a conflict are looked at again.
+    identified = named.where(~is_blank(F.col("request_id")))
+    triple = F.struct(*_PROMPT_KEYS[1:])
+    per_id = identified.groupBy(*request_key).agg(F.min(triple).alias("_least"), F.max(triple).alias("_greatest"))
+    in_conflict = per_id.where("_least <> _greatest").select(*request_key)
     conflicts = (
-        keyed.where("_keys > 1").groupBy(*_PROMPT_KEYS).agg(F.count(F.lit(1)).alias("metadata_conflict_cnt_1d"))
+        identified.join(in_conflict, request_key, "left_semi")
+        .select(*request_key, *_PROMPT_KEYS[1:]).distinct()
+        .groupBy(*_PROMPT_KEYS).agg(F.count(F.lit(1)).alias("metadata_conflict_cnt_1d"))
     )
     daily = PROMPT_REQUESTS.build(named)
     if evaluations is None:
@@ -428,7 +429,7 @@ def prompt_version_daily(requests: DataFrame, evaluations: DataFrame | None = No
             }
         )
     else:
-        unique = keyed.where("_keys = 1").drop("_keys")
+        unique = per_id.where("_least = _greatest").select(*request_key, "_least.*")
         judged = daily.join(_evaluations_by_prompt(evaluations, unique), list(_PROMPT_KEYS), "left").fillna(
             {
                 "evaluation_cnt_1d": 0,

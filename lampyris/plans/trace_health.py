@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lampyris.functions.numeric import cost_units, is_failed, usd
+from lampyris.functions.numeric import MONEY, cost_units, is_failed, usd
 
 _TEXT_COLUMNS = (
     "run_id", "span_id", "request_id", "tool_call_id", "retrieval_id", "app_name", "feature_name", "user_id",
@@ -196,8 +196,8 @@ def _reduce_traces(nodes: DataFrame, slow_child_ms: int, high_cost_usd: float) -
         F.min("started").alias("_started"),
         F.max("ended").alias("_ended"),
         F.max("latency_ms").alias("_slowest_ms"),
-        F.sum(F.when(model, units).otherwise(zero)).alias("_model_units"),
-        F.max(F.when(run, units).otherwise(zero)).alias("_run_units"),
+        F.sum(F.when(model, units).otherwise(zero.cast(MONEY))).alias("_model_units"),
+        F.max(F.when(run, units).otherwise(zero.cast(MONEY))).alias("_run_units"),
         F.sum(F.when(model, F.col("tokens")).otherwise(zero)).alias("_model_tokens"),
         F.max(F.when(run, F.col("tokens")).otherwise(zero)).alias("_run_tokens"),
         F.bool_or(failed).alias("is_failed_trace"),

@@ -27,13 +27,16 @@ def big(expression: str) -> str:
     return f"cast({expression} as bigint)"
 
 
+STEPS = "1000000000000"
+
+
 def units(column: str) -> str:
-    """USD as whole 1e-8 steps."""
-    return f"cast(round({column} * 100000000) as bigint)"
+    """USD as whole 1e-12 steps, from the shortest decimal text of the double."""
+    return f"cast(cast(cast({column} as varchar) as decimal(25, 12)) * cast({STEPS} as decimal(13, 0)) as hugeint)"
 
 
 def usd_sum(column: str = "estimated_cost_usd") -> str:
-    return f"cast(sum({units(column)}) as double) / 100000000"
+    return f"cast(sum({units(column)}) as double) / {STEPS}"
 
 
 def cents(column: str) -> str:
@@ -375,12 +378,12 @@ with spent as (
   from m_team_app_daily),
 rated as (
   select s.*, team_name, department, cost_center, budget_monthly_usd as budget,
-    {up('mtd', '100000000', 6)} as mtd_amt,
-    {up('mtd * day(last_day(date))', '100000000 * day(date)', 6)} as projected
+    {up('mtd', STEPS, 6)} as mtd_amt,
+    {up('mtd * day(last_day(date))', f'{STEPS} * day(date)', 6)} as projected
   from spent s left join v_team_dim t on s.team_id = t.team_id)
 select date, team_id, team_name, department, cost_center, app_name, request_cnt_1d, total_token_cnt_1d,
-  cast(model_units as double) / 100000000 as estimated_cost_amt_1d, agent_run_cnt_1d,
-  cast(agent_units as double) / 100000000 as agent_cost_amt_1d, cast(day_units as double) / 100000000 as total_cost_amt_1d,
+  cast(model_units as double) / {STEPS} as estimated_cost_amt_1d, agent_run_cnt_1d,
+  cast(agent_units as double) / {STEPS} as agent_cost_amt_1d, cast(day_units as double) / {STEPS} as total_cost_amt_1d,
   mtd_amt as cost_mtd_amt, projected as projected_month_end_cost_amt, budget as budget_monthly_amt,
   {up('round(mtd_amt * 1000000)', 'budget * 1000000', 4)} as budget_utilization_rate_mtd,
   projected > budget as is_budget_breach
@@ -395,10 +398,10 @@ with monthly as (
     sum(model_units) as mu, {big('sum(agent_run_cnt_1d)')} as agent_run_cnt_1m, sum(agent_units) as au
   from m_team_app_daily group by all),
 rated as (
-  select m.*, team_name, department, cost_center, budget_monthly_usd as budget, {up('mu + au', '100000000', 6)} as charge
+  select m.*, team_name, department, cost_center, budget_monthly_usd as budget, {up('mu + au', STEPS, 6)} as charge
   from monthly m left join v_team_dim t on m.team_id = t.team_id)
 select month_start_date, team_id, team_name, department, cost_center, request_cnt_1m, total_token_cnt_1m,
-  cast(mu as double) / 100000000 as llm_cost_amt_1m, agent_run_cnt_1m, cast(au as double) / 100000000 as agent_cost_amt_1m,
+  cast(mu as double) / {STEPS} as llm_cost_amt_1m, agent_run_cnt_1m, cast(au as double) / {STEPS} as agent_cost_amt_1m,
   charge as chargeback_amt_1m, budget as budget_monthly_amt, round(budget - charge, 6) as budget_variance_amt_1m,
   {up('round(charge * 1000000)', 'budget * 1000000', 4)} as budget_utilization_rate_1m,
   coalesce(charge > budget, false) as is_budget_overrun
@@ -438,11 +441,11 @@ select cast(wk as date) as week_start_date, app_name, {', '.join(
         ("d1", "feedback_cnt_1w"), ("d2", "thumbs_up_cnt_1w"), ("d3", "thumbs_down_cnt_1w"),
         ("e1", "guardrail_check_cnt_1w"), ("e2", "guardrail_triggered_cnt_1w"), ("e3", "guardrail_block_cnt_1w"),
         ("g1", "evaluation_cnt_1w"), ("g2", "evaluation_pass_cnt_1w"), ("g3", "evaluation_fail_cnt_1w")))},
-  cast(coalesce(a5, 0) as double) / 100000000 as llm_cost_amt_1w, cast(a6 as bigint) as p95_latency_ms_max,
-  cast(coalesce(b4, 0) as double) / 100000000 as agent_cost_amt_1w, {up('a7', '100 * a1', 2)} as avg_latency_ms,
+  cast(coalesce(a5, 0) as double) / {STEPS} as llm_cost_amt_1w, cast(a6 as bigint) as p95_latency_ms_max,
+  cast(coalesce(b4, 0) as double) / {STEPS} as agent_cost_amt_1w, {up('a7', '100 * a1', 2)} as avg_latency_ms,
   {up('c3', 'c2', 4)} as retrieval_hit_rate_1w, {up('d2', '(d2 + d3)', 4)} as satisfaction_rate_1w,
   {up('g2', 'g1', 4)} as evaluation_pass_rate_1w, {up('g4', '10000 * g1', 4)} as avg_evaluation_score,
-  cast(coalesce(a5, 0) + coalesce(b4, 0) as double) / 100000000 as total_ai_cost_amt_1w
+  cast(coalesce(a5, 0) + coalesce(b4, 0) as double) / {STEPS} as total_ai_cost_amt_1w
 from j""",
 )
 
@@ -500,7 +503,7 @@ t as (
     {_first('agent_id')} as agent_id, {_first('agent_name')} as agent_name,
     epoch_ms(max(ended)) - epoch_ms(min(started)) as trace_latency_ms,
     cast(greatest(sum(case when node_type = 'llm_generation' then {units('cost_usd')} else 0 end),
-      max(case when node_type = 'orchestration' then {units('cost_usd')} else 0 end)) as double) / 100000000 as trace_cost_usd,
+      max(case when node_type = 'orchestration' then {units('cost_usd')} else 0 end)) as double) / {STEPS} as trace_cost_usd,
     cast(greatest(sum(case when node_type = 'llm_generation' then tokens else 0 end),
       max(case when node_type = 'orchestration' then tokens else 0 end)) as bigint) as trace_total_tokens,
     bool_or(failed) as is_failed_trace,
@@ -552,7 +555,7 @@ select c.dataset_name, c.experiment_name, c.baseline_variant, c.candidate_varian
       f"{a}.evaluation_count as {r}_evaluation_count, {a}.pass_count as {r}_pass_count, {a}.fail_count as {r}_fail_count, "
       f"cast({a}.pct as double) / 100 as {r}_score_numerator, {a}.score_denominator as {r}_score_denominator, "
       f"cast({a}.lat as bigint) as {r}_latency_ms_numerator, {a}.timed as {r}_latency_ms_denominator, "
-      f"cast({a}.cost as double) / 100000000 as {r}_estimated_cost_usd_numerator, "
+      f"cast({a}.cost as double) / {STEPS} as {r}_estimated_cost_usd_numerator, "
       f"{a}.costed as {r}_estimated_cost_usd_denominator" for a, r in (("b", "baseline"), ("k", "candidate")))}
 from v_experiment_comparison c
 join m_variants b on c.dataset_name = b.dataset_name and c.experiment_name = b.experiment_name and c.baseline_variant = b.variant_name
@@ -571,7 +574,7 @@ def _rates(role: str) -> str:
         f"{up(f'round({role}_score_numerator * 100)', f'100 * {role}_score_denominator', 6)} end as {role}_avg_score, "
         f"{share(f'{role}_latency_ms_numerator', 'latency_ms_denominator', 2)} as {role}_avg_latency_ms, "
         f"case when {role}_estimated_cost_usd_denominator > 0 then "
-        f"{up(units(f'{role}_estimated_cost_usd_numerator'), f'100000000 * {role}_estimated_cost_usd_denominator', 8)} end "
+        f"{up(units(f'{role}_estimated_cost_usd_numerator'), f'{STEPS} * {role}_estimated_cost_usd_denominator', 8)} end "
         f"as {role}_avg_estimated_cost_usd"
     )
 

@@ -362,7 +362,7 @@ register(
     "dash_cost_by_model",
     _feature(consumer.cost_by_model),
     f"select model_name, request_count, total_tokens, estimated_cost_usd, "
-    f"{_share(units('estimated_cost_usd'), '100000000 * request_count', 8)} as avg_cost_per_request from ("
+    f"{_share(units('estimated_cost_usd'), '1000000000000 * request_count', 8)} as avg_cost_per_request from ("
     f"select model_name, {_COUNTS}, {usd_sum()} as estimated_cost_usd from w_feature_daily group by 1) t",
 )
 register(
