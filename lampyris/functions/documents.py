@@ -10,6 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lampyris.operators.quality import ERRORS, REJECTED, STATUS, with_source_evidence
+
+UNPARSABLE = "validity:unparsable_document"
 
 
 def settled(frame: DataFrame) -> DataFrame:
@@ -24,10 +29,18 @@ def settled(frame: DataFrame) -> DataFrame:
 
 
 def parsed(lines: DataFrame, column: str, name: str) -> DataFrame:
-    """JSON text as a VARIANT column, parsed once per row; unparsable rows are dropped."""
+    """JSON text as a VARIANT column, parsed once per row; for the other rows see ``unparsable``."""
     return settled(lines.selectExpr(f"try_parse_json({column}) as {name}")).where(f"{name} is not null")
 
 
+def unparsable(lines: DataFrame, column: str, system: str, entity: str) -> DataFrame:
+    """Rejects for rows that are no JSON document (broken text, a key given twice, a document too large)."""
+    broken = lines.where(f"try_parse_json({column}) is null")
+    labelled = broken.select(F.array(F.lit(UNPARSABLE)).alias(ERRORS), F.lit(REJECTED).alias(STATUS), F.sha2(column, 256).alias("_hash"))
+    nothing = F.lit(None).cast("string")
+    return with_source_evidence(labelled, system, entity, nothing, nothing, F.col("_hash")).drop("_hash")
+
+
 def at(root: str, path: str) -> str:
     return f"try_variant_get({root}, '$.{path}', 'variant')"
 
@@ -82,11 +95,22 @@ def text(variant: str, default: str | None = "") -> str:
 
 
 def integer(value: str, default: int | str | None = None) -> str:
-    """Whole number; a fractional number is cut off."""
+    """Whole number from text whose kind is not known any more (merged metadata); a fraction is cut off."""
     whole = f"try_cast(try_cast({value} as decimal(38,6)) as bigint)"
     return whole if default is None else f"coalesce({whole}, {default})"
 
 
+def integer_of(root: str, *paths: str) -> str:
+    """Whole number at the first path that holds a value.
+
+    A fractional number is cut off; text has to be a whole number, else the
+    value counts as not understood (NULL).
+    """
+    held = one_of(*[f"nullif(to_json({at(root, p)}), 'null')" for p in paths])
+    number = f"regexp_extract({held}, '^(\"\\\\s*[+-]?[0-9]+\\\\s*\"|[+-]?[0-9.]+([eE][+-]?[0-9]+)?)$', 1)"
+    return f"try_cast(try_cast(trim(replace({number}, '\"', '')) as decimal(38,6)) as bigint)"
+
+
 def real(variant: str, default: float | None = None) -> str:
     value = f"try_cast({variant} as double)"
     return value if default is None else f"coalesce({value}, {default}D)"

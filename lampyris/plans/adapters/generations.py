@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lampyris.contracts import LLM_REQUEST
-from lampyris.functions.documents import columns, elapsed_ms, first_of, integer, layered, one_of, overlay, real, settled, sha, text, truth
+from lampyris.functions.documents import UNPARSABLE, columns, elapsed_ms, first_of, integer, integer_of, layered, one_of, overlay, real, settled, sha, text, truth
 from lampyris.operators.quality import ERRORS, REJECTED, STATUS, VALID, with_source_evidence
 from lampyris.plans.adapters import observation as obs
 
@@ -17,28 +17,30 @@ _REQUIRED = (
 )
 
 
+def _hashed(lines: DataFrame, column: str) -> DataFrame:
+    """The text with the hash of its canonical JSON, or of itself if it cannot be parsed."""
+    canonical = F.expr(f"cast(try_parse_json({column}) as string)")
+    return lines.select(F.sha2(F.coalesce(canonical, F.col(column), F.lit("")), 256).alias("_payload_hash"), F.col(column).alias("_text"))
+
+
 def distinct_payloads(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Parsable records, each distinct payload once.
+    """Each distinct payload once.
 
     Payloads are equal when their canonical JSON is; repeats collapse on the
     map side, so a record replayed very often costs one row.
     """
-    payload = F.sha2(F.expr(f"cast(try_parse_json({column}) as string)"), 256)
-    hashed = lines.select(payload.alias("_payload_hash"), F.col(column).alias("_text")).where("_payload_hash is not null")
-    return hashed.groupBy("_payload_hash").agg(F.min("_text").alias("_text"))
+    return _hashed(lines, column).groupBy("_payload_hash").agg(F.min("_text").alias("_text"))
 
 
 def normalize(lines: DataFrame, column: str = "value", deduplicate: bool = True) -> DataFrame:
-    """Normalised requests with error labels, status and source evidence."""
-    if deduplicate:
-        source = distinct_payloads(lines, column)
-    else:
-        source = lines.selectExpr(
-            f"sha2(cast(try_parse_json({column}) as string), 256) as _payload_hash", f"{column} as _text"
-        ).where("_payload_hash is not null")
+    """Normalised requests with error labels, status and source evidence.
+
+    Text that cannot be parsed becomes a reject of its own.
+    """
+    source = distinct_payloads(lines, column) if deduplicate else _hashed(lines, column)
     own, embedded = obs.metadata_parts("r")
     records = (
-        source.selectExpr("_payload_hash", "parse_json(_text) as r")
+        source.selectExpr("_payload_hash", "try_parse_json(_text) as r")
         .selectExpr("_payload_hash", "r", f"{own} as own", f"{embedded} as embedded")
         .selectExpr("_payload_hash", "r", f"{overlay('own', 'embedded')} as md")
     )
@@ -63,6 +65,7 @@ def normalize(lines: DataFrame, column: str = "value", deduplicate: bool = True)
 
     normalized = basics.selectExpr(
         "_payload_hash",
+        "r is null as _broken",
         *columns(
             request_id="request_id",
             trace_id=text(first_of("r", "traceId", "trace_id", "trace.id")),
@@ -91,7 +94,7 @@ def normalize(lines: DataFrame, column: str = "value", deduplicate: bool = True)
             request_type=text(m("request_type"), "chat"),
             is_streaming=truth(m("is_streaming", "streaming")),
             temperature=real(first_of("r", "modelParameters.temperature", "model_parameters.temperature"), 0.0),
-            max_tokens=integer(first_of("r", "modelParameters.max_tokens", "modelParameters.maxTokens"), 0),
+            max_tokens=f"coalesce({integer_of('r', 'modelParameters.max_tokens', 'modelParameters.maxTokens')}, 0)",
             finish_reason=f"coalesce({text(m('finish_reason'), None)}, if(status = 'error', 'error', 'stop'))",
             retry_count=integer(m("retry_count"), 0),
             latency_ms=f"coalesce({elapsed_ms('started', 'ended')}, {integer(m('latency_ms', 'duration_ms'), 0)})",
@@ -123,12 +126,13 @@ def normalize(lines: DataFrame, column: str = "value", deduplicate: bool = True)
         ("http_status not between 100 and 599", "validity:invalid_http_status"),
         ("_type <> 'generation'", "validity:unsupported_observation_type"),
     ]
-    checked = normalized.withColumn(ERRORS, F.expr(obs.labels(checks)))
+    labels = F.when(F.col("_broken"), F.array(F.lit(UNPARSABLE))).otherwise(F.expr(obs.labels(checks)))
+    checked = normalized.withColumn(ERRORS, labels)
     checked = checked.withColumn(STATUS, F.expr(f"if(size({ERRORS}) = 0, '{VALID}', '{REJECTED}')"))
     evidence = with_source_evidence(
         checked, "langfuse", "generation", F.col("_source_id"), None, F.col("_payload_hash")
     )
-    return settled(evidence.drop("_type", "_payload_hash"))
+    return settled(evidence.drop("_type", "_payload_hash", "_broken"))
 
 
 def requests(normalized: DataFrame) -> DataFrame:

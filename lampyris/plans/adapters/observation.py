@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from lampyris.functions.documents import at, first_of, instant, integer, layered, one_of, real, text, text_map
+from lampyris.functions.documents import at, first_of, instant, integer, integer_of, layered, one_of, real, text, text_map
 
 # --- Fixed values: accepted spellings ---------------------------------------
 START = ("startTime", "start_time", "timestamp", "createdAt", "created_at")
@@ -40,7 +40,8 @@ def end_time(record: str) -> str:
 def tokens(record: str, md: str, kind: str) -> str:
     names = TOKEN_NAMES[kind]
     paths = [f"{container}.{name}" for container in USAGE for name in names]
-    return integer(one_of(first_of(record, *paths), layered(md, *names)))
+    stated, assumed = first_of(record, *paths), integer(layered(md, *names))
+    return f"if(({stated}) is null, {assumed}, {integer_of(record, *paths)})"
 
 
 def cost(record: str, md: str) -> str:

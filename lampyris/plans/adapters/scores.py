@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lampyris.contracts import EVALUATION, FEEDBACK
 from lampyris.functions.documents import (
     at, columns, first_of, instant, integer, is_set, layered, one_of, overlay, parsed, real, settled, sha, signal, text,
-    text_map, truth,
+    text_map, truth, unparsable,
 )
 from lampyris.operators.quality import ERRORS, REJECTED, STATUS, VALID, with_source_evidence
 from lampyris.plans.adapters.observation import labels, missing
@@ -242,6 +242,11 @@ def standalone(lines: DataFrame, column: str = "value") -> DataFrame:
     return parsed(lines, column, "s").selectExpr("s", f"{NO_CONTEXT} as t")
 
 
+def unparsable_documents(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Lines that hold no document."""
+    return unparsable(lines, column, "langfuse", "score_event")
+
+
 def _facts(normalized: DataFrame, score_class: str, contract, key: str) -> DataFrame:
     rows = normalized.where((F.col(STATUS) == VALID) & (F.col("score_class") == score_class))
     rows = rows.withColumnRenamed("score_id", key)

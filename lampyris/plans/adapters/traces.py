@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lampyris.contracts import AGENT_RUN, AGENT_SPAN, RETRIEVAL, TOOL_CALL, FactContract
 from lampyris.functions.documents import (
     at, columns, elapsed_ms, first_of, integer, json_list, layered, layered_variant, objects, one_of, overlay, parsed, present,
-    real, settled, sha, text, text_map, variant_of, variants,
+    real, settled, sha, text, text_map, unparsable, variant_of, variants,
 )
 from lampyris.operators.quality import ERRORS, REJECTED, STATUS, VALID, with_source_evidence
 from lampyris.plans.adapters import observation as obs
@@ -363,6 +363,11 @@ def rejected_documents(traces: DataFrame) -> DataFrame:
     return with_source_evidence(labelled, "langfuse", "trace", source_id, F.col("trace_id"), payload).drop("r")
 
 
+def unparsable_documents(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Lines that hold no document."""
+    return unparsable(lines, column, "langfuse", "trace")
+
+
 def unsupported_observations(traces: DataFrame) -> DataFrame:
     """Observations of unknown type, labelled with the type."""
     rows = _intact(traces).selectExpr("trace_id", f"explode(filter(os, o -> not {_in(_type('o.v'), KNOWN_TYPES)})) as item").selectExpr("trace_id", "item.v as o")

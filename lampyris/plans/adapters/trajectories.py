@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from lampyris.contracts import AGENT_RUN, AGENT_SPAN, TOOL_CALL, FactContract
 from lampyris.functions.documents import (
-    at, columns, first_of, integer, layered, objects, one_of, parsed, real, spaced_json, text_map, variants,
+    at, columns, first_of, integer, layered, objects, one_of, parsed, real, spaced_json, text_map, unparsable, variants,
 )
 
 _STEP_MS = 100
@@ -103,6 +103,11 @@ def documents(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def rejects(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Lines that hold no document."""
+    return unparsable(lines, column, "hermes", "trajectory")
+
+
 def runs(trajectories: DataFrame) -> DataFrame:
     def m(*keys: str) -> str:
         return _or(*[layered("md", k) for k in keys])

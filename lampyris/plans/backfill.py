@@ -9,16 +9,24 @@ from pyspark.sql import functions as F
 
 from lampyris.contracts import CONTRACTS, LLM_REQUEST
 from lampyris.plans import facts, summaries
-from lampyris.plans.adapters import generations, trajectories
+from lampyris.plans.adapters import generations, traces, trajectories
 from lampyris.sources import readers, writers
 
 
 def load_fact(
-    spark: SparkSession, raw: DataFrame, fact: str, path: str, start: str | None = None, end: str | None = None
+    spark: SparkSession, raw: DataFrame, fact: str, path: str, start: str | None = None, end: str | None = None,
+    load_id: str | None = None,
 ) -> tuple[DataFrame, dict[str, int]]:
-    """Type, validate and store one fact; returns the stored valid rows and counts."""
+    """Type, validate and store one fact; returns the stored valid rows and counts.
+
+    A date range leaves out rows of other dates; rows without a date lie in no
+    range, so they are judged, stored and counted with every load.
+    """
     checked = facts.validated(raw, fact, fill_nulls=True)
-    counts = writers.write_validated(readers.between_dates(checked, start, end), path, f"load_{fact}")
+    ranged = readers.between_dates(checked, start, end)
+    if start or end:
+        ranged = ranged.unionByName(checked.where("date is null"))
+    counts = writers.write_validated(ranged, path, f"load_{fact}", load_id)
     return writers.read_valid(spark, path, CONTRACTS[fact].schema), counts
 
 
@@ -28,6 +36,7 @@ def backfill_requests(
     warehouse: str,
     start: str | None = None,
     end: str | None = None,
+    load_id: str | None = None,
 ) -> dict[str, int]:
     """JSON lines to request facts, rejects and the daily feature summary.
 
@@ -36,7 +45,7 @@ def backfill_requests(
     """
     began = datetime.now(timezone.utc)
     raw = readers.json_lines(spark, input_path, LLM_REQUEST)
-    valid, counts = load_fact(spark, raw, "llm_request", f"{warehouse}/llm_request", start, end)
+    valid, counts = load_fact(spark, raw, "llm_request", f"{warehouse}/llm_request", start, end, load_id)
     written = Observation("feature_daily")
     daily = summaries.feature_daily(readers.between_dates(valid, start, end))
     writers.overwrite_dates(daily.observe(written, F.count(F.lit(1)).alias("n")), f"{warehouse}/feature_daily")
@@ -96,12 +105,41 @@ def import_generations(spark: SparkSession, input_path: str, output_path: str, q
 
 
 def import_trajectories(spark: SparkSession, input_path: str, output_path: str) -> dict[str, int]:
-    """Trajectory documents to agent runs, spans and tool calls."""
-    laid_out = trajectories.documents(spark.read.text(input_path))
+    """Trajectory documents to agent runs, spans, tool calls and rejects.
+
+    Documents are parsed and laid out once, with one clock reading for those
+    without a timestamp, and stored; the outputs are read from there.
+    """
+    lines = spark.read.text(input_path)
+    laid_out = trajectories.documents(lines)
+    staged = f"{output_path}_staged"
+    laid_out.write.mode("overwrite").parquet(staged)
+    stored = spark.read.schema(laid_out.schema).parquet(staged)
+    n = F.count(F.lit(1)).alias("n")
     counts = {}
     for name, build in (("runs", trajectories.runs), ("spans", trajectories.spans), ("tool_calls", trajectories.tool_calls)):
         seen = Observation(name)
-        rows = build(laid_out).observe(seen, F.count(F.lit(1)).alias("n"))
-        writers.overwrite_dates(rows, f"{output_path}/{name}")
+        writers.overwrite_dates(build(stored).observe(seen, n), f"{output_path}/{name}")
+        counts[name] = int(seen.get["n"])
+    rejected = Observation("rejects")
+    trajectories.rejects(lines).observe(rejected, n).write.mode("overwrite").parquet(f"{output_path}/rejects")
+    return counts | {"rejects": int(rejected.get["n"])}
+
+
+def import_traces(spark: SparkSession, input_path: str, output_path: str) -> dict[str, int]:
+    """Trace documents to facts and rejects; documents are parsed once and stored in between."""
+    lines = spark.read.text(input_path)
+    parsed = traces.documents(lines)
+    staged = f"{output_path}_staged"
+    parsed.write.mode("overwrite").parquet(staged)
+    stored = spark.read.schema(parsed.schema).parquet(staged)
+    n = F.count(F.lit(1)).alias("n")
+    counts = {}
+    for name, rows in traces.facts(stored).items():
+        seen = Observation(name)
+        writers.overwrite_dates(rows.observe(seen, n), f"{output_path}/{name}")
         counts[name] = int(seen.get["n"])
-    return counts
+    rejected = Observation("rejects")
+    broken = traces.unparsable_documents(lines)
+    traces.rejects(stored).unionByName(broken, allowMissingColumns=True).observe(rejected, n).write.mode("overwrite").parquet(f"{output_path}/rejects")
+    return counts | {"rejects": int(rejected.get["n"])}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -34,6 +35,34 @@ PUBLISHED_COLUMNS: dict[str, tuple[str, ...]] = {
         "avg_handoff_latency_ms p95_handoff_latency_ms".split()
     ),
     "platform_health_daily": tuple("date component metric_name metric_value threshold is_breach".split()),
+    "weekly_summary": (
+        "week_start_date", "app_name", "request_cnt_1w", "success_cnt_1w", "error_cnt_1w", "total_token_cnt_1w", "llm_cost_amt_1w",
+        "p95_latency_ms_max", "agent_run_cnt_1w", "agent_success_cnt_1w", "agent_error_cnt_1w", "agent_cost_amt_1w",
+        "retrieval_cnt_1w", "retrieval_returned_cnt_1w", "retrieval_hit_cnt_1w", "feedback_cnt_1w", "thumbs_up_cnt_1w",
+        "thumbs_down_cnt_1w", "guardrail_check_cnt_1w", "guardrail_triggered_cnt_1w", "guardrail_block_cnt_1w",
+        "evaluation_cnt_1w", "evaluation_pass_cnt_1w", "evaluation_fail_cnt_1w", "avg_latency_ms", "retrieval_hit_rate_1w",
+        "satisfaction_rate_1w", "evaluation_pass_rate_1w", "avg_evaluation_score", "total_ai_cost_amt_1w",
+    ),
+    "trace_health": (
+        "date", "trace_id", "run_id", "span_id", "request_id", "tool_call_id", "retrieval_id", "app_name", "feature_name", "user_id",
+        "session_id", "agent_id", "agent_name", "model_name", "provider", "knowledge_base_id", "bottleneck_node_type",
+        "bottleneck_node_id", "bottleneck_name", "bottleneck_status", "bottleneck_error_type", "bottleneck_latency_ms",
+        "bottleneck_cost_usd", "bottleneck_input_size", "bottleneck_output_size", "prompt_hash", "response_hash",
+        "query_text_hash", "trace_latency_ms", "trace_cost_usd", "trace_total_tokens", "trace_status", "is_high_cost_trace",
+        "is_slow_trace", "is_failed_trace", "has_failed_child_observation", "has_slow_child_observation",
+        "has_missing_child_facts", "declared_llm_call_count", "observed_llm_request_count", "declared_tool_call_count",
+        "observed_tool_call_count", "declared_retrieval_count", "observed_retrieval_count", "child_observation_summary",
+    ),
+    "experiment_regression": (
+        "dataset_name", "experiment_name", "baseline_variant", "candidate_variant", "baseline_model_name",
+        "baseline_prompt_version", "candidate_model_name", "candidate_prompt_version", "evaluation_dimension",
+        "experiment_start_date", "experiment_end_date", "baseline_evaluation_count", "baseline_pass_count",
+        "baseline_fail_count", "baseline_score_numerator", "baseline_score_denominator", "baseline_latency_ms_numerator",
+        "baseline_latency_ms_denominator", "baseline_estimated_cost_usd_numerator", "baseline_estimated_cost_usd_denominator",
+        "candidate_evaluation_count", "candidate_pass_count", "candidate_fail_count", "candidate_score_numerator",
+        "candidate_score_denominator", "candidate_latency_ms_numerator", "candidate_latency_ms_denominator",
+        "candidate_estimated_cost_usd_numerator", "candidate_estimated_cost_usd_denominator",
+    ),
 }
 # Columns of the tab-separated request export: the contract with the raw texts
 # after the provider.
@@ -62,9 +91,16 @@ def overwrite_all(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").parquet(path)
 
 
-def write_validated(validated: DataFrame, path: str, name: str = "validated") -> dict[str, int]:
+LOAD = "_load"
+
+
+def write_validated(validated: DataFrame, path: str, name: str = "validated", load_id: str | None = None) -> dict[str, int]:
     """Valid and rejected rows side by side per date in one pass; returns counts.
 
+    Rows without a date stand under the load that brought them, so another load
+    leaves them alone; a load that is repeated under the same ``load_id``
+    replaces its own.
+
     The source is scanned once: both kinds come from one write and the counts
     from metrics observed while writing.  Status is a stored column rather than
     a directory, so loading a date again replaces its valid and its rejected
@@ -77,7 +113,9 @@ def write_validated(validated: DataFrame, path: str, name: str = "validated") ->
         F.count_if(F.col(STATUS) == VALID).alias("valid_rows"),
         F.count_if(F.col(STATUS) == REJECTED).alias("rejected_rows"),
     )
-    overwrite_dates(observed, path)
+    undated = F.lit(load_id or uuid.uuid4().hex)
+    placed = observed.withColumn(LOAD, F.when(F.col("date").isNotNull(), F.lit("dated")).otherwise(undated))
+    overwrite_dates(placed, path, by=("date", LOAD))
     return {key: int(value) for key, value in seen.get.items()}
 
 
@@ -97,7 +135,9 @@ def _read_status(spark: SparkSession, path: str, schema: T.StructType, status: s
 
 def for_publishing(frame: DataFrame, table: str) -> DataFrame:
     """The published column list with date text turned into dates."""
-    columns = PUBLISHED_COLUMNS.get(table, tuple(frame.columns))
+    if table not in PUBLISHED_COLUMNS:
+        raise ValueError(f"no published table is named {table!r}")
+    columns = PUBLISHED_COLUMNS[table]
     out = []
     for name in columns:
         is_text = isinstance(frame.schema[name].dataType, T.StringType)

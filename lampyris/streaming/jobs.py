@@ -41,8 +41,14 @@ def _start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoi
 
 
 def dates_of(batch: DataFrame) -> list:
-    """Days a batch touches; a batch spans few days however many rows it has."""
-    return sorted(row[0] for row in batch.select("date").distinct().collect() if row[0] is not None)
+    """Days a batch touches, None for rows without one; a batch spans few days however many rows it has."""
+    return sorted((row[0] for row in batch.select("date").distinct().collect()), key=lambda d: (d is not None, d))
+
+
+def on_dates(rows: DataFrame, dates: Sequence) -> DataFrame:
+    """Rows of the given days; None stands for rows without a date."""
+    wanted = F.col("date").isin([d for d in dates if d is not None])
+    return rows.where(wanted | F.col("date").isNull() if None in dates else wanted)
 
 
 # -- stateless: messages to facts --------------------------------------------
@@ -135,8 +141,7 @@ def start_rollup(
         # The batch's own dates, from what it just wrote: no second source scan.
         touched = dates_of(stored.where(F.col(BATCH) == batch_id))
         if touched:
-            current = stored.where(F.col("date").isin(touched)).drop(BATCH)
-            writers.overwrite_dates(rollup.finish(current), summary_path)
+            writers.overwrite_dates(rollup.finish(on_dates(stored, touched).drop(BATCH)), summary_path)
 
     return _start(rows, handle, checkpoint, **trigger)
 
@@ -161,8 +166,7 @@ def start_recompute(
         stored = stored_fact(batch.sparkSession, fact, fact_path)
         touched = dates_of(stored.where(F.col(BATCH) == batch_id))
         if touched:
-            current = stored.where(F.col("date").isin(touched)).drop(BATCH)
-            writers.overwrite_dates(build(current, touched), summary_path)
+            writers.overwrite_dates(build(on_dates(stored, touched).drop(BATCH), touched), summary_path)
 
     return _start(rows, handle, checkpoint, **trigger)
 
@@ -181,5 +185,10 @@ def current_rows(spark: SparkSession, path: str, keys: Sequence[str], version: S
 
 
 def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], version: Sequence[str] = ()) -> None:
-    """Rewrite the change rows of ``path`` as one row per key under ``target``."""
-    writers.overwrite_dates(current_rows(spark, path, keys, version), target)
+    """Rewrite the change rows of ``path`` as one row per key under ``target``.
+
+    The target is replaced as a whole: a key whose date has changed leaves no
+    copy under the old date.
+    """
+    rows = current_rows(spark, path, keys, version).hint("rebalance", "date")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("date").parquet(target)

@@ -105,8 +105,63 @@ def test_document_imports(spark, path):
     counts = backfill.import_generations(spark, f"{path}/g.jsonl", f"{path}/ok", f"{path}/bad")
     assert counts == {"input_rows": 3, "output_rows": 1, "quarantine_rows": 1}
     assert facts.valid(spark.read.parquet(f"{path}/ok"), "llm_request").count() == 1
-    _events(f"{path}/t.jsonl", trajectory())
-    assert backfill.import_trajectories(spark, f"{path}/t.jsonl", f"{path}/t") == {"runs": 1, "spans": 4, "tool_calls": 2}
+    _events(f"{path}/t.jsonl", trajectory(), "[broken")
+    assert backfill.import_trajectories(spark, f"{path}/t.jsonl", f"{path}/t") == {"runs": 1, "spans": 5, "tool_calls": 3, "rejects": 1}
+
+
+def test_every_document_is_accounted_for(spark, path):
+    from tests.test_adapters import generation
+
+    _events(f"{path}/g.jsonl", generation(), '{"id": "twice", "id": "twice"}', "no json at all", generation())
+    counts = backfill.import_generations(spark, f"{path}/g.jsonl", f"{path}/ok", f"{path}/bad")
+    assert counts == {"input_rows": 4, "output_rows": 1, "quarantine_rows": 2}
+    rejected = spark.read.parquet(f"{path}/bad").collect()
+    assert [r._dq_errors for r in rejected] == [["validity:unparsable_document"]] * 2
+    assert len({r._source_payload_hash for r in rejected}) == 2
+
+
+def test_trace_import(spark, path):
+    from tests.test_adapters import journey
+
+    _events(f"{path}/t.jsonl", journey(), "{", {"id": "no start"})
+    counts = backfill.import_traces(spark, f"{path}/t.jsonl", f"{path}/t")
+    assert counts == {"agent_run": 1, "agent_span": 2, "tool_call": 2, "retrieval": 1, "feedback": 1, "evaluation": 1, "rejects": 2}
+
+
+def test_undated_trajectories_share_one_clock_reading(spark, path):
+    from tests.test_adapters import trajectory
+
+    _events(f"{path}/t.jsonl", trajectory(metadata={"session_id": "undated"}))
+    backfill.import_trajectories(spark, f"{path}/t.jsonl", f"{path}/t")
+    run, first = spark.read.parquet(f"{path}/t/runs").first(), spark.read.parquet(f"{path}/t/spans").orderBy("span_order").first()
+    assert (first.start_time - run.start_time).total_seconds() < 1 and first.date == run.date
+
+
+def test_loads_keep_each_others_undated_rejects(spark, path):
+    schema = CONTRACTS["llm_request"].schema
+    for i in (1, 2, 2):
+        undated = facts.validated(rows(spark, "llm_request", request(i, date=None, latency_ms=0)), "llm_request")
+        writers.write_validated(undated, path, load_id=f"load{i}")
+    assert sorted(r.request_id for r in writers.read_rejected(spark, path, schema).collect()) == ["r1", "r2"]
+
+
+def test_undated_rows_count_in_a_ranged_load(spark, path):
+    source = f"{path}/in.jsonl"
+    _events(source, _raw(1, "2026-01-05"), _raw(2, "2026-01-06") | {"date": None, "created_at": None})
+    counts = backfill.backfill_requests(spark, source, f"{path}/wh", "2026-01-05", "2026-01-05")
+    assert (counts["input_rows"], counts["fact_rows"], counts["quarantine_rows"]) == (2, 1, 1)
+
+
+def test_only_published_tables_are_published(spark, path):
+    import pytest
+
+    with pytest.raises(ValueError, match="no published table"):
+        writers.publish_files(rows(spark, "llm_request", request(1)), "requests", path)
+    for name, first, last in (("weekly_summary", "week_start_date", "total_ai_cost_amt_1w"), ("trace_health", "date", "child_observation_summary"),
+                              ("experiment_regression", "dataset_name", "candidate_estimated_cost_usd_denominator")):
+        columns = writers.PUBLISHED_COLUMNS[name]
+        assert (columns[0], columns[-1], len(set(columns))) == (first, last, len(columns))
+        assert not {"prompt_text", "response_text", "arguments_json", "result_text"} & set(columns)
 
 
 def test_message_parsing_skips_broken_rows(spark):

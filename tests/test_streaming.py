@@ -151,3 +151,22 @@ def test_pass_through_copy(spark, path):
     _run(jobs.start_file_copy(_messages(spark, source), f"{path}/out", f"{path}/check"))
     copied = readers.parse_messages(spark.read.text(f"{path}/out"), CONTRACT)
     assert copied.count() == 3
+
+
+def test_rows_without_a_date_are_summarised_too(spark, path):
+    source = f"{path}/in"
+    for part in range(2):
+        _drop(source, f"p{part}", [*_events(part * 10, 10), *_events(100 + part, 1, date=None)])
+    stream = facts.typed(_messages(spark, source), "llm_request", True)
+    _run(jobs.start_rollup(stream, summaries.FEATURE_DAILY, f"{path}/parts", f"{path}/daily", f"{path}/check"))
+    got = spark.read.parquet(f"{path}/daily")
+    assert got.agg(F.sum("request_count")).first()[0] == 22
+    assert got.where("date is null").agg(F.sum("request_count")).first()[0] == 2
+
+
+def test_compaction_leaves_no_copy_under_an_old_date(spark, path):
+    rows = lambda day, v: spark.createDataFrame([("k1", date(2026, 1, day), v), ("k2", date(2026, 1, 7), 0)], "k string, date date, v int")
+    for batch, day in ((1, 5), (2, 6)):
+        jobs.append_batch(rows(day, batch), batch, f"{path}/changes")
+        jobs.compact(spark, f"{path}/changes", f"{path}/now", ["k"])
+    assert sorted((r.k, r.date.day, r.v) for r in spark.read.parquet(f"{path}/now").collect()) == [("k1", 6, 2), ("k2", 7, 0)]

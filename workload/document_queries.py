@@ -16,6 +16,24 @@ from workload import views
 from workload.oracles import big, usd_sum, with_ctes
 from workload.queries import ORACLES, QUERIES, register
 
+
+def _scratch(spark: SparkSession) -> str:
+    """A fresh folder under the shared checkpoint folder; only a local session does without one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="spark-")
+    return f"{shared.rstrip('/')}/work-{uuid.uuid4().hex}"
+
+
+def _stored(frame: DataFrame) -> DataFrame:
+    """The frame, computed once and kept under the shared folder."""
+    path = f"{_scratch(frame.sparkSession)}/rows"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 _MS = "date_trunc('millisecond', ts)"
 
 
@@ -185,7 +203,7 @@ register(
 )
 register(
     "adapter_trace_rejects",
-    lambda s, d: traces.rejects(_traces(s, d)).select("_source_id", "_source_trace_id", F.array_join("_dq_errors", ",").alias("errors")),
+    lambda s, d: traces.rejects(_stored(_traces(s, d))).select("_source_id", "_source_trace_id", F.array_join("_dq_errors", ",").alias("errors")),
     """select concat('odd_', event_id) as _source_id, concat('trace_', event_id) as _source_trace_id,
       'validity:unsupported_observation_type:event' as errors from events where event_id % 13 = 0
     union all select concat('span_', event_id), concat('trace_', event_id), 'validity:non_positive_duration' from events where event_id % 5000 = 0
@@ -233,12 +251,6 @@ register(
 # --- streams -----------------------------------------------------------------
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A fresh folder under the shared checkpoint folder, local only if none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="spark-")
-
-
 # Requests made from the event stream alone.
 _STREAMED = """
   concat('req_', event_id) as request_id, event_type as app_name, concat('f_', user_id % 5) as feature_name,
