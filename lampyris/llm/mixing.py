@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lampyris.llm.scratch import materialise
+from lampyris.llm.scratch import free_name, materialise
 
 #: A mean above this is drawn as a sum of independent parts, each with a mean of at most this; 64 terms hold its distribution
 #: to below 2^-53.
@@ -58,21 +58,25 @@ def replicated(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame
     Rows are drawn by doc_id alone: equal ids get equal counts, and null ids are all drawn alike.
     Columns of `docs` that are named like the added ones are replaced.
     """
-    keep = [c for c in docs.columns if c not in ("copy", "n_copies")]
-    table = _with_tables(rates.select(F.col("source").alias("_source"), "rate"))
-    if table.count() <= 100_000:
-        table = F.broadcast(table)
-    doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    draw = lambda part: F.size(F.filter("cdf", lambda p: p <= _uniform(F.lit(str(seed)), part.cast("string"), doc)))
-    first = F.size(F.filter("cdf", lambda p: p <= F.col("_u")))
-    rest = F.aggregate(F.sequence(F.lit(1), F.col("parts") - 1), F.lit(0), lambda s, part: s + draw(part))
-    count = F.when(F.col("parts") > 1, first + rest).otherwise(first)
+    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("copy", "n_copies")]
+    docs = docs.select(keep)
+    table, uniform = free_name("draw", docs), free_name("uniform", docs)
+    tables = _with_tables(rates.select("source", "rate")).select(F.struct("source", "parts", "cdf").alias(table))
+    if tables.count() <= 100_000:
+        tables = F.broadcast(tables)
+    doc, cdf, parts = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col(f"{table}.cdf"), F.col(f"{table}.parts")
+
+    def draw(part: Column) -> Column:
+        return F.size(F.filter(cdf, lambda p: p <= _uniform(F.lit(str(seed)), part.cast("string"), doc)))
+
+    first = F.size(F.filter(cdf, lambda p: p <= F.col(uniform)))
+    rest = F.aggregate(F.sequence(F.lit(1), parts - 1), F.lit(0), lambda s, part: s + draw(part))
     return (
-        docs.select(*(F.col(f"`{c}`") for c in keep), _uniform(F.lit(str(seed)), F.lit("0"), doc).alias("_u"))
-        .join(table, F.col("source").cast("string").eqNullSafe(F.col("_source")))
-        .withColumn("n_copies", count).where("n_copies > 0")
+        docs.withColumn(uniform, _uniform(F.lit(str(seed)), F.lit("0"), doc))
+        .join(tables, F.col("source").cast("string").eqNullSafe(F.col(f"{table}.source")))
+        .withColumn("n_copies", F.when(parts > 1, first + rest).otherwise(first)).where("n_copies > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
-        .select(*(F.col(f"`{c}`") for c in keep), "copy", "n_copies")
+        .select(*keep, "copy", "n_copies")
         .orderBy(F.xxhash64(F.lit(seed), "doc_id", "copy"))
     )
 

@@ -26,3 +26,11 @@ def materialise(frame: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def free_name(wanted: str, *frames: DataFrame) -> str:
+    """`wanted`, with underscores added until none of the frames has such a column."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted

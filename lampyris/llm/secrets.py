@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lampyris.llm.scratch import materialise
+from lampyris.llm.scratch import free_name, materialise
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}={0,2}"
 #: Characters of text kept on the left and right of a candidate.
@@ -148,9 +148,11 @@ def secret_scan(docs: DataFrame, most: int = FINDINGS) -> DataFrame:
 def redacted(docs: DataFrame, most: int = FINDINGS) -> DataFrame:
     """`docs` with each found secret replaced by `REDACTED` in `text`; all rows and columns stay, only texts with candidates move."""
     found = secret_scan(docs, most).where("is_secret")
-    strings = found.groupBy(F.col("doc_id").alias("_doc")).agg(F.sort_array(F.collect_set("candidate"), asc=False).alias("_secrets"))
+    key, strings = free_name("finding_doc", docs), free_name("finding_strings", docs)
+    per_doc = found.groupBy(F.col("doc_id").alias(key)).agg(F.sort_array(F.collect_set("candidate"), asc=False).alias(strings))
     may = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
-    joined = docs.where(may).join(strings, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
-    clean = F.aggregate(F.coalesce("_secrets", F.array().cast("array<string>")), F.col("text"), lambda t, s: F.replace(t, s, F.lit(REDACTED)))
-    touched = joined.withColumn("text", clean).select(docs.columns)
-    return docs.where(~may).unionByName(touched)
+    joined = docs.where(may).join(per_doc, F.col("doc_id").eqNullSafe(F.col(key)), "left")
+    none = F.array().cast("array<string>")
+    clean = F.aggregate(F.coalesce(strings, none), F.col("text"), lambda t, s: F.replace(t, s, F.lit(REDACTED)))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.where(~may).select(columns).unionByName(joined.withColumn("text", clean).select(columns))
