@@ -1,7 +1,7 @@
 """Quality rules by tokeniser fertility (operator 9).
 
 Public vocabularies say how well a text fits them: characters per token, the share of byte-fallback tokens and the entropy of its
-tokens. Bands for each language come from all documents of that language that pass the base rules: three times the distance between the
+tokens. Bands for each language come from all documents of that language that pass the base rules: two and a half times the distance between the
 quartiles around them. What falls outside is rejected. Every whole word is encoded on its own, so a worker encodes each distinct word once.
 """
 
@@ -12,9 +12,10 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lampyris.llm.scratch import materialise
+from lampyris.llm.cache import Recent
+from lampyris.llm.scratch import free_name, materialise
 from lampyris.llm.words import SPACES, SHINGLE, Texts, pieces, utf8
 
 PIECES, BYTES = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json")
@@ -22,13 +23,12 @@ SYMBOLS = b"#*$%&|<>"
 #: Base rules: fewest words, and highest percentage of words in repeated five-word windows.
 LEAST_WORDS, MOST_REPEATED = 10, 20
 #: Width of a band in quartile distances, its least half-width, and the documents a language needs for bands of its own.
-WIDTH, LEAST_DOCS = 3.0, 200
+WIDTH, LEAST_DOCS = 2.5, 200
 #: A text of so many words has a band that is wider by the square root of 2.
 SHORT = 100
-SLACK = {"chars_per_piece": 0.4, "chars_per_byte_token": 0.4, "fallback_share": 0.05, "entropy": 0.08}
+SLACK = {"chars_per_piece": 0.05, "chars_per_byte_token": 0.05, "fallback_share": 0.05, "entropy": 0.08, "entropy_bits": 0.5}
 #: Texts that fit a vocabulary well are never rejected for it: ordinary prose has up to so many characters per token.
 FITS = 6.0
-_KEPT = 400_000
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MEASURES = tuple(SLACK)
@@ -36,14 +36,14 @@ _FIELDS = [(c, pa.int64()) for c in _COUNTS] + [(c, pa.float64()) for c in MEASU
 _TYPE = T.StructType([T.StructField(c, T.LongType() if k == pa.int64() else T.DoubleType()) for c, k in _FIELDS])
 
 
-class _Vocabulary(dict):
+class _Vocabulary:
     """Of a word's bytes: its pieces' ids as unsigned 16-bit numbers, and its number of byte-level tokens."""
 
     def __init__(self) -> None:
-        super().__init__()
-        import sentencepiece
         import os
 
+        import sentencepiece
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -52,14 +52,18 @@ class _Vocabulary(dict):
         self.bytes.encode_special_tokens = True
         self.fallback = np.array([self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())])
 
-    def learn(self, words: list[bytes]) -> None:
-        if len(self) > _KEPT:
-            self.clear()
-        new = [w for w in words if w not in self]
-        texts = [w.decode("utf-8", "replace") for w in new]
+        self.words = Recent(size=100_000)
+
+    def of(self, words: list[bytes]) -> list[tuple[bytes, int]]:
+        known = {w: self.words.kept(w) for w in words}
+        unseen = [w for w, value in known.items() if value is None]
+        texts = [w.decode("utf-8", "replace") for w in unseen]
         tokens = self.bytes.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
-        for word, ids, own in zip(new, self.pieces.encode(texts, num_threads=1), tokens):
-            self[word] = (np.array(ids, np.uint16).tobytes(), len(own.ids))
+        for word, ids, own in zip(unseen, self.pieces.encode(texts, num_threads=1), tokens):
+            known[word] = (np.array(ids, np.uint16).tobytes(), len(own.ids))
+        for word, value in known.items():
+            self.words.keep(word, value)
+        return [known[w] for w in words]
 
 
 def _measured(batch: pa.RecordBatch, vocabulary: _Vocabulary) -> dict[str, np.ndarray]:
@@ -101,8 +105,7 @@ def _measured(batch: pa.RecordBatch, vocabulary: _Vocabulary) -> dict[str, np.nd
     # Tokens, from the distinct words.
     _, at, which = np.unique(words.hash, return_index=True, return_inverse=True)
     distinct = [data[a:b].tobytes() for a, b in zip(words.start[at], words.end[at])]
-    vocabulary.learn(distinct)
-    known = [vocabulary[w] for w in distinct]
+    known = vocabulary.of(distinct)
     flat = np.frombuffer(b"".join(k[0] for k in known), np.uint16).astype(np.int64)
     size = np.array([len(k[0]) // 2 for k in known], np.int64)
     at_byte = np.array([k[1] for k in known], np.int64)
@@ -121,14 +124,14 @@ def _measured(batch: pa.RecordBatch, vocabulary: _Vocabulary) -> dict[str, np.nd
     return {
         "n_words": count, "word_chars": chars, "n_symbols": total(symbols[data]), "n_dup_lines": repeated,
         "n_repeat_words": total(inside, words.first), "chars_per_piece": chars / safe, "chars_per_byte_token": chars / np.maximum(n_bytes, 1),
-        "fallback_share": fallback / safe, "entropy": bits / np.maximum(np.log2(safe), 1),
+        "fallback_share": fallback / safe, "entropy": bits / np.maximum(np.log2(safe), 1), "entropy_bits": bits,
     }
 
 
 def measure(docs: DataFrame, name: str = "measures") -> DataFrame:
     """`docs` with a struct column `name`: counts of the base rules and the fertility measures of every whole text.
 
-    A null text has no words. Entropy is a share of the most that so many tokens can have.
+    A null text has no words. `entropy` is a share of the most that so many tokens can have, `entropy_bits` is in bits.
     """
     schema = T.StructType([*docs.schema.fields, T.StructField(name, _TYPE)])
     column = docs.columns.index("text")
@@ -168,19 +171,25 @@ def bands(measured: DataFrame, language: str = "lang", name: str = "measures") -
 def judge(measured: DataFrame, limits: DataFrame, language: str = "lang", name: str = "measures") -> DataFrame:
     """`measured` with base_failed and kept. A language without bands is judged by the base rules alone."""
     m = lambda c: F.col(f"m.{name}.{c}")
-    inside = F.lit(True)
-    for c in MEASURES:
-        reach = F.col(f"b.{c}_reach") * F.sqrt(1 + SHORT / m("n_words"))  # means of few words scatter more
-        if c != "fallback_share":
-            inside &= F.coalesce(m(c) >= F.col(f"b.{c}_low") - reach, F.lit(True))
-        if c != "entropy":
-            high = F.col(f"b.{c}_high") + reach
-            inside &= F.coalesce(m(c) <= (high if c == "fallback_share" else F.greatest(high, F.lit(FITS))), F.lit(True))
+    def reach(c: str) -> Column:
+        """Means of few words scatter more."""
+        return F.col(f"b.{c}_reach") * F.sqrt(1 + SHORT / F.greatest(m("n_words"), F.lit(1)))
+
+    def below(c: str) -> Column:
+        return F.coalesce(m(c) < F.col(f"b.{c}_low") - reach(c), F.lit(False))
+
+    def above(c: str, at_least: float = 0.0) -> Column:
+        return F.coalesce(m(c) > F.greatest(F.col(f"b.{c}_high") + reach(c), F.lit(at_least)), F.lit(False))
+
+    # A long text has a small share of the entropy that is possible, a short one few bits: only both together tell.
+    odd = below("entropy") & below("entropy_bits") | above("fallback_share")
+    # Both vocabularies have to find a text too short or too long in its tokens.
+    odd |= below("chars_per_piece") & below("chars_per_byte_token") | above("chars_per_piece", FITS) & above("chars_per_byte_token", FITS)
     failed = base_failed(f"m.{name}")
     if limits.count() <= 10_000:
         limits = F.broadcast(limits)
     joined = measured.alias("m").join(limits.alias("b"), F.col(f"m.{language}").cast("string").eqNullSafe(F.col("b.language")), "left")
-    return joined.select(*(F.col(f"m.`{c}`") for c in measured.columns), failed.alias("base_failed"), (~failed & inside).alias("kept"))
+    return joined.select(*(F.col(f"m.`{c}`") for c in measured.columns), failed.alias("base_failed"), (~failed & ~odd).alias("kept"))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -195,9 +204,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, that the rules keep."""
-    name = "measures"
-    while name in docs.columns:
-        name += "_"
+    name = free_name("measures", docs)
     measured = materialise(measure(docs, name), "measured")
     judged = judge(measured, materialise(bands(measured, name=name), "bands"), name=name)
     return judged.where("kept").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lampyris.llm.cache import Recent
 from lampyris.llm.scratch import materialise
 
 #: Labelled rows that the model is fitted to, at most (those with the smallest hashes), and features it has, at most.
@@ -66,19 +67,14 @@ class Model:
     weights: dict[str, float]
     bias: float
 
-    def score(self, words: set[str], cache: dict[str, tuple[str, ...]] | None = None) -> float:
-        return float(1 / (1 + np.exp(-self.logit(words, {} if cache is None else cache))))
+    def features(self, word: str) -> tuple[str, ...]:
+        return tuple(f for f in word_features(word) if f in self.weights)
 
-    def logit(self, words: set[str], cache: dict[str, tuple[str, ...]]) -> float:
-        found: set[str] = set()
-        for word in words:
-            own = cache.get(word)
-            if own is None:
-                if len(cache) > 400_000:
-                    cache.clear()
-                own = cache[word] = tuple(f for f in word_features(word) if f in self.weights)
-            found.update(own)
-        return self.bias + sum(self.weights[f] for f in sorted(found))
+    def score(self, words: set[str], known: Recent | None = None) -> float:
+        """Of a text's distinct words; `known` keeps the features of words between calls."""
+        known = Recent(self.features) if known is None else known
+        found = {f for own in map(known.__getitem__, words) for f in own}
+        return float(1 / (1 + np.exp(-(self.bias + sum(self.weights[f] for f in sorted(found))))))
 
 
 def _select(rows: DataFrame, most: int) -> list[str]:
@@ -174,9 +170,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> DataFr
     model = fit(training_rows(docs, labels, most))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, tuple[str, ...]] = {}
+        known = Recent(model.features)
         for batch in batches:
-            scores = [model.score(set(_words((t.as_py() or "").lower())), cache) for t in batch.column("text")]
+            scores = [model.score(set(_words((t.as_py() or "").lower())), known) for t in batch.column("text")]
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "score": pa.array(scores, pa.float64())})
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(score, "doc_id long, score double")
