@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lampyris.contracts import CONTRACTS
-from lampyris.plans import facts, summaries
+from lampyris.plans import backfill, facts, summaries
 from lampyris.plans.adapters import generations, scores, traces, trajectories
 from lampyris.streaming import jobs
 from workload import views
@@ -245,8 +245,23 @@ register(
     from (select *, count(*) filter (role = 'assistant') over (partition by run_id order by i) as n from ({_TURNS}) t) u
     where role = 'assistant'""",
 )
-# Tool calls need tool messages, which the conversations do not have; the
-# literal cases in the tests cover them.
+register(
+    "adapter_trajectory_tool_calls",
+    lambda s, d: trajectories.tool_calls(trajectories.documents(views.documents(s, d, "tool_trajectory"))).select(
+        "tool_call_id", "span_id", "run_id", "tool_name", "tool_type", "arguments_json", "result_text", "result_size", "status", "error_type",
+        "created_at", "date",
+    ),
+    f"""select case when j = 0 then concat('call_', event_id) else {_RUN_ID.format('tool_call', "concat(chr(34), run_id, chr(34)), '1', '1'")} end as tool_call_id,
+      {_RUN_ID.format('span', "concat(chr(34), run_id, chr(34)), '1', cast(j as varchar), concat(chr(34), 'tool_call', chr(34))")} as span_id,
+      run_id, concat('tool_', event_id % case when j = 0 then 6 else 4 end) as tool_name, 'function' as tool_type,
+      case when j = 0 then concat('{{"n": ', event_id % 10, '}}') else 'raw' end as arguments_json,
+      case when j = 1 then '' when event_id % 7 = 0 then 'Error: late' else 'fine' end as result_text,
+      cast(case when j = 1 then 0 when event_id % 7 = 0 then 11 else 4 end as integer) as result_size,
+      case when j = 0 and event_id % 7 = 0 then 'error' else 'success' end as status,
+      case when j = 0 and event_id % 7 = 0 then 'tool_error' end as error_type,
+      date_trunc('second', ts) + interval 100 millisecond as created_at, cast(date_trunc('second', ts) + interval 100 millisecond as date) as date
+    from (select event_id, ts, concat('visit_', event_id) as run_id, unnest([0, 1]) as j from events) t""",
+)
 
 # --- streams -----------------------------------------------------------------
 
@@ -318,4 +333,92 @@ register(
     ),
 )
 register("stream_feature_daily", _daily_stream, _streamed_summary("date, app_name, feature_name, model_name", _D))
+
+# --- streams of other facts, rows without a date, upserts and backfills ------------
+
+_STREAMED_FACTS = {
+    "feedback": """
+  concat('fb_', event_id) as feedback_id, concat('req_', event_id % 977) as request_id, concat('s_', user_id) as session_id,
+  concat('user_', user_id) as user_id, event_type as app_name, concat('f_', user_id % 3) as feature_name, concat('agent_', event_id % 2) as agent_id,
+  case cast(event_id % 6 as int) when 0 then 'thumbs_up' when 1 then 'thumbs_down' when 2 then 'rating' when 3 then 'regenerate' when 4 then 'edit' else 'report' end as feedback_type,
+  case when event_id % 6 = 2 then cast(event_id % 5 + 1 as int) else null end as rating_value, 1 as response_latency_ms,
+  'live' as mode, ts as created_at, cast(ts as date) as date""",
+    "guardrail": """
+  concat('gr_', event_id) as guardrail_event_id, concat('user_', user_id) as user_id, event_type as app_name, 'pre_request' as guardrail_stage,
+  concat('rule_', event_id % 3) as rule_name, case when event_id % 2 = 0 then 'toxicity' else 'topic_block' end as rule_category,
+  event_id % 5 = 0 as triggered, case when event_id % 5 = 0 then 'block' else 'pass' end as action_taken, 'low' as severity,
+  cast(event_id % 250 + 1 as int) as guardrail_latency_ms, 'live' as mode, ts as created_at, cast(ts as date) as date""",
+}
+
+
+def _other_stream(spark: SparkSession, sf_dir: str, columns: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    schema = views.table(spark, sf_dir, "events").schema
+    source = spark.readStream.schema(schema).format("parquet").load(f"{sf_dir}/events.parquet*")
+    return source.selectExpr(*_split(columns))
+
+
+def _rolled(stream: DataFrame, rollup) -> DataFrame:
+    where = _scratch(stream.sparkSession)
+    jobs.start_rollup(stream, rollup, f"{where}/parts", f"{where}/daily", f"{where}/check").awaitTermination()
+    return stream.sparkSession.read.parquet(f"{where}/daily")
+
+
+def _mean(column: str) -> str:
+    from workload.oracles import mean
+
+    return mean(column)
+
+
+register(
+    "stream_feedback_daily",
+    lambda s, d: _rolled(facts.valid(_other_stream(s, d, _STREAMED_FACTS["feedback"]), "feedback", True, True), summaries.FEEDBACK_DAILY),
+    f"""select date, app_name, feature_name, agent_id, count(*) as feedback_cnt_1d, count(*) filter (feedback_type = 'thumbs_up') as thumbs_up_cnt_1d,
+      count(*) filter (feedback_type = 'thumbs_down') as thumbs_down_cnt_1d, count(*) filter (feedback_type = 'regenerate') as regenerate_cnt_1d,
+      count(*) filter (feedback_type = 'report') as report_cnt_1d, {_mean('rating_value')} as avg_rating, count(distinct request_id) as rated_request_cnt_1d
+    from (select {_STREAMED_FACTS['feedback']} from events) t where rating_value is null or rating_value between 1 and 5 group by all""",
+)
+register(
+    "stream_guardrail_daily",
+    lambda s, d: _rolled(facts.valid(_other_stream(s, d, _STREAMED_FACTS["guardrail"]), "guardrail", True, True), summaries.GUARDRAIL_DAILY),
+    f"""select date, app_name, rule_category, action_taken, count(*) as check_cnt_1d, count(*) filter (triggered) as triggered_cnt_1d,
+      count(*) filter (action_taken = 'block') as block_cnt_1d, count(*) filter (action_taken = 'redact') as redact_cnt_1d,
+      count(*) filter (action_taken = 'warn') as warn_cnt_1d, {_mean('guardrail_latency_ms')} as avg_guardrail_latency_ms,
+      count(distinct user_id) as distinct_user_cnt_1d from (select {_STREAMED_FACTS['guardrail']} from events) t group by all""",
+)
+_UNDATED = _STREAMED.replace("cast(ts as date) as date", "case when event_id % 9 = 0 then null else cast(ts as date) end as date")
+register(
+    "stream_feature_daily_undated",
+    lambda s, d: _rolled(facts.typed(_other_stream(s, d, _UNDATED), "llm_request", True), summaries.FEATURE_DAILY),
+    _streamed_summary("date, app_name, feature_name, model_name", _D).replace(_VALID, f"(select {_UNDATED} from events)"),
+)
+_CHANGES = "concat('user_', user_id) as user_id, event_id as version, event_type as last_type, cast(ts as date) as date"
+
+
+def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last change of each user; a user's date moves from change to change."""
+    where = _scratch(spark)
+    jobs.start_upsert(_other_stream(spark, sf_dir, _CHANGES), f"{where}/changes", f"{where}/check").awaitTermination()
+    for _ in range(2):
+        jobs.compact(spark, f"{where}/changes", f"{where}/now", ["user_id"], ["version"])
+    return spark.read.parquet(f"{where}/now")
+
+
+register(
+    "stream_upsert_users", _upserted,
+    f"""select user_id, max(version) as version, arg_max(last_type, version) as last_type, arg_max(date, version) as date
+    from (select {_CHANGES} from events) t group by user_id""",
+)
+
+
+def _backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests as JSON lines, loaded, and the summary that the load stores."""
+    where = _scratch(spark)
+    views.view(spark, sf_dir, "llm_request").write.option("ignoreNullFields", "false").json(f"{where}/raw")
+    backfill.backfill_requests(spark, f"{where}/raw", f"{where}/warehouse")
+    return spark.read.parquet(f"{where}/warehouse/feature_daily")
+
+
+register("backfill_feature_daily", _backfilled)
+ORACLES["backfill_feature_daily"] = ORACLES["summary_feature_daily"]
 __all__ = ["ORACLES", "QUERIES", "with_ctes"]

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 import re
 
-from lampyris.contracts import CONTRACTS
-from workload.views import VIEWS
+from workload.fact_oracles import RULES
+from workload.views import FACTS, VIEWS
 
 
 def up(numerator: str, denominator: str, digits: int) -> str:
@@ -58,8 +58,8 @@ def _cte(name: str, sql: str) -> None:
 
 for _name, _sql in VIEWS.items():
     _cte(f"v_{_name}", _sql)
-for _name, _contract in CONTRACTS.items():
-    holds = " and ".join(f"coalesce({r.predicate}, true)" for r in _contract.rules) or "true"
+for _name in FACTS:
+    holds = " and ".join(f"coalesce({rule}, true)" for _, rule in RULES.get(_name, ())) or "true"
     _cte(f"f_{_name}", f"select * from v_{_name} where {holds}")
 
 
@@ -389,6 +389,10 @@ select date, team_id, team_name, department, cost_center, app_name, request_cnt_
   projected > budget as is_budget_breach
 from rated""",
 )
+# The budget as first defined: agent cost is added up over the model rows it stands on.
+_cte("m_team_app_daily_copies", CTES["m_team_app_daily"].replace("max(", "sum("))
+CTES["m_team_app_daily_copies"] = re.sub(r"sum\(agent_run_cnt_1d\)", "cast(sum(agent_run_cnt_1d) as bigint)", CTES["m_team_app_daily_copies"])
+_cte("m_daily_budget_copies", CTES["m_daily_budget"].replace("m_team_app_daily", "m_team_app_daily_copies"))
 _cte(
     "m_monthly_chargeback",
     f"""

@@ -11,6 +11,7 @@ from lampyris.contracts import CONTRACTS
 from lampyris.operators import quality
 from lampyris.plans import consumer, facts, marts, summaries, trace_health
 from workload import views
+from workload.fact_oracles import COLUMNS, RULES
 from workload.oracles import big, rounded, units, up, usd_sum, with_ctes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,30 +96,8 @@ def _on(build: Callable[[Data], DataFrame]) -> Query:
 
 # --- facts, rejects, status counts ------------------------------------------
 
-_SQL_TYPES = {
-    "string": "varchar", "int": "integer", "bigint": "bigint", "double": "double", "boolean": "boolean",
-    "timestamp": "timestamp", "date": "date",
-}
-
-
-def _fact_oracle(name: str) -> str:
-    """Every contract column: from the view, else its default."""
-    contract = CONTRACTS[name]
-    # Column names of the view, read from its outermost aliases.
-    provided = {f.name for f in contract.fields if f" as {f.name}" in views.VIEWS[name]}
-    cols = []
-    for field in contract.fields:
-        if field.name in provided:
-            cols.append(f"cast({field.name} as {_SQL_TYPES[field.type_name]}) as {field.name}")
-        else:
-            default = field.default if field.has_default else dict(contract.null_fill).get(field.name)
-            literal = "null" if default is None else (f"'{default}'" if isinstance(default, str) else str(default).lower())
-            cols.append(f"cast({literal} as {_SQL_TYPES[field.type_name]}) as {field.name}")
-    return f"select {', '.join(cols)} from f_{name}"
-
-
 for _name in views.FACTS:
-    register(f"fact_{_name}", _on(lambda d, n=_name: d.fact(n)), _fact_oracle(_name))
+    register(f"fact_{_name}", _on(lambda d, n=_name: d.fact(n)), f"select {COLUMNS[_name]} from f_{_name}")
 
 
 def _rejects(d: Data, name: str) -> DataFrame:
@@ -128,11 +107,11 @@ def _rejects(d: Data, name: str) -> DataFrame:
 
 
 def _labels_sql(name: str) -> str:
-    marks = ", ".join(f"case when not ({r.predicate}) then '{r.label}' end" for r in CONTRACTS[name].rules)
+    marks = ", ".join(f"case when not ({rule}) then '{label}' end" for label, rule in RULES[name])
     return f"concat_ws(',', {marks})"
 
 
-_RULED = [n for n in views.FACTS if CONTRACTS[n].rules]
+_RULED = list(RULES)
 for _name in _RULED:
     register(
         f"rejected_{_name}",
@@ -175,7 +154,7 @@ register(
     _on(_stream_validity),
     " union all ".join(
         f"select '{n}' as table_name, count(*) as row_count from v_{n} where "
-        + " and ".join(f"({r.predicate})" for r in CONTRACTS[n].rules)
+        + " and ".join(f"({rule})" for _, rule in RULES[n])
         for n in _RULED
     ),
 )
@@ -269,6 +248,9 @@ _MARTS: dict[str, tuple[Callable[[Data], DataFrame], str]] = {
     "mart_satisfaction": (lambda d: marts.satisfaction(d.feedback_daily(), d.feature_daily()), "m_satisfaction"),
     "mart_guardrail_violations": (lambda d: marts.guardrail_violations(d.guardrail_daily()), "m_guardrail_violations"),
     "mart_daily_budget": (lambda d: marts.daily_budget(d.team_cost_daily(), d.raw("team_dim")), "m_daily_budget"),
+    "mart_daily_budget_copies": (
+        lambda d: marts.daily_budget(d.team_cost_daily(), d.raw("team_dim"), agent_cost_per_model=True), "m_daily_budget_copies",
+    ),
     "mart_monthly_chargeback": (
         lambda d: marts.monthly_chargeback(d.team_cost_daily(), d.raw("team_dim")), "m_monthly_chargeback",
     ),

@@ -152,7 +152,7 @@ select concat('gr_', l_orderkey, '_', l_linenumber) as guardrail_event_id,
   case when l_partkey % 6 = 0 then case cast(l_suppkey % 4 as int) when 0 then 'warn' when 1 then 'block'
     when 2 then 'redact' else 'override' end else 'pass' end as action_taken,
   case cast(l_partkey % 4 as int) when 0 then 'low' when 1 then 'medium' when 2 then 'high' else 'critical' end as severity,
-  cast(l_suppkey % 300 as int) as guardrail_latency_ms,
+  case when l_partkey % 83 = 0 then null else cast(l_suppkey % 300 as int) end as guardrail_latency_ms,
   'mock' as mode, 'dev' as environment,
   o_orderdate as created_at,
   cast(o_orderdate as date) as date
@@ -322,6 +322,13 @@ select concat('{"prompt_index":', conv_id, ',"conversations":[',
 from (select conv_id, turn, turn div 8 as block, min(role) as role, min(text) as text from conversations
   group by conv_id, turn) t
 group by conv_id, block""",
+    # One visit with two tool calls, made of an event.
+    "tool_trajectory": """
+select concat('{"prompt_index":', event_id, ',"conversations":[{"from":"human","value":"q', event_id % 9, '"},',
+  '{"from":"gpt","value":"on it","tool_calls":[{"id":"call_', event_id, '","function":{"name":"tool_', event_id % 6, '","arguments":{"n":', event_id % 10, '}}},',
+  '{"name":"tool_', event_id % 4, '","arguments":"raw"}]},{"from":"tool","value":"', if(event_id % 7 = 0, 'Error: late', 'fine'), '"}],',
+  '"metadata":{"timestamp":"', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), 'Z","session_id":"visit_', event_id, '"},"completed":true}') as value
+from (select /*+ repartition(event_id) */ * from events) e""",
 }
 FACTS = (
     "llm_request agent_run agent_span tool_call model_deployment retrieval feedback guardrail evaluation access_audit "
