@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -111,26 +112,65 @@ def prompt_version_comparison(
     )
 
 
-def retrieval_quality(
-    retrieval_daily: DataFrame, p95_total_latency_ms_max: int = 2000, zero_result_rate_max: float = 0.10
-) -> DataFrame:
-    return (
-        retrieval_daily.withColumns(
-            {
-                "zero_result_rate_1d": ratio(F.col("zero_result_cnt_1d"), F.col("retrieval_cnt_1d"), 4),
-                "hit_rate_1d": ratio(F.col("hit_cnt_1d"), F.col("returned_cnt_1d"), 4),
-                "p95_total_latency_ms_max": F.lit(p95_total_latency_ms_max).cast("bigint"),
-                "zero_result_rate_max": F.lit(float(zero_result_rate_max)),
-            }
-        )
-        .select(
-            "date", "app_name", "knowledge_base_id", "embedding_model", "retrieval_strategy", "retrieval_cnt_1d",
-            "zero_result_cnt_1d", "returned_cnt_1d", "hit_cnt_1d", "zero_result_rate_1d", "hit_rate_1d",
-            "p95_total_latency_ms", "p95_total_latency_ms_max", "zero_result_rate_max",
-            (F.col("p95_total_latency_ms") > F.col("p95_total_latency_ms_max")).alias("is_latency_breach"),
-            (F.col("zero_result_rate_1d") > F.col("zero_result_rate_max")).alias("is_zero_result_breach"),
-        )
-    )
+@dataclass(frozen=True)
+class Watch:
+    """A daily mart that holds rates against bounds.
+
+    ``rates`` are (numerator, denominator) by column, ``flags`` are (metric, comparison, bound) by column; a flag is
+    NULL where its metric is.
+    """
+
+    columns: tuple[str, ...]
+    rates: dict[str, tuple[str, str]]
+    flags: dict[str, tuple[str, str, str]]
+
+    def over(self, daily: DataFrame, **bounds: int | float) -> DataFrame:
+        limits = {n: F.lit(v).cast("bigint" if isinstance(v, int) else "double") for n, v in bounds.items()}
+        rated = daily.withColumns({n: ratio(F.col(top), F.col(base), 4) for n, (top, base) in self.rates.items()} | limits)
+        marks = [F.expr(f"{metric} {sign} {bound}").alias(n) for n, (metric, sign, bound) in self.flags.items()]
+        return rated.select(*self.columns, *marks)
+
+
+_RETRIEVAL = Watch(
+    columns=(
+        "date", "app_name", "knowledge_base_id", "embedding_model", "retrieval_strategy", "retrieval_cnt_1d", "zero_result_cnt_1d",
+        "returned_cnt_1d", "hit_cnt_1d", "zero_result_rate_1d", "hit_rate_1d", "p95_total_latency_ms", "p95_total_latency_ms_max",
+        "zero_result_rate_max",
+    ),
+    rates={"zero_result_rate_1d": ("zero_result_cnt_1d", "retrieval_cnt_1d"), "hit_rate_1d": ("hit_cnt_1d", "returned_cnt_1d")},
+    flags={
+        "is_latency_breach": ("p95_total_latency_ms", ">", "p95_total_latency_ms_max"),
+        "is_zero_result_breach": ("zero_result_rate_1d", ">", "zero_result_rate_max"),
+    },
+)
+_SATISFACTION = Watch(
+    columns=(
+        "date", "app_name", "feature_name", "agent_id", "feedback_cnt_1d", "thumbs_up_cnt_1d", "thumbs_down_cnt_1d",
+        "regenerate_cnt_1d", "request_cnt_1d", "satisfaction_rate_1d", "regeneration_rate_1d", "satisfaction_rate_min",
+        "regeneration_rate_max",
+    ),
+    rates={"satisfaction_rate_1d": ("thumbs_up_cnt_1d", "_votes"), "regeneration_rate_1d": ("regenerate_cnt_1d", "request_cnt_1d")},
+    flags={
+        "is_satisfaction_breach": ("satisfaction_rate_1d", "<", "satisfaction_rate_min"),
+        "is_regeneration_breach": ("regeneration_rate_1d", ">", "regeneration_rate_max"),
+    },
+)
+# The latency bound of guardrails is applied to the average.
+_GUARDRAILS = Watch(
+    columns=(
+        "date", "app_name", "rule_category", "action_taken", "check_cnt_1d", "triggered_cnt_1d", "block_cnt_1d",
+        "avg_guardrail_latency_ms", "trigger_rate_1d", "block_rate_1d", "trigger_rate_max", "p95_latency_ms_max",
+    ),
+    rates={"trigger_rate_1d": ("triggered_cnt_1d", "check_cnt_1d"), "block_rate_1d": ("block_cnt_1d", "check_cnt_1d")},
+    flags={
+        "is_trigger_rate_breach": ("trigger_rate_1d", ">", "trigger_rate_max"),
+        "is_latency_breach": ("avg_guardrail_latency_ms", ">", "p95_latency_ms_max"),
+    },
+)
+
+
+def retrieval_quality(retrieval_daily: DataFrame, p95_total_latency_ms_max: int = 2000, zero_result_rate_max: float = 0.10) -> DataFrame:
+    return _RETRIEVAL.over(retrieval_daily, p95_total_latency_ms_max=p95_total_latency_ms_max, zero_result_rate_max=float(zero_result_rate_max))
 
 
 def satisfaction(
@@ -146,46 +186,13 @@ def satisfaction(
         feature = ["date", "app_name", "feature_name"]
         requests = feature_daily.groupBy(*feature).agg(F.sum("request_count").alias("request_cnt_1d"))
         base = feedback_daily.join(requests, feature, "left")
-    votes = F.col("thumbs_up_cnt_1d") + F.col("thumbs_down_cnt_1d")
-    return (
-        base.withColumns(
-            {
-                "satisfaction_rate_1d": ratio(F.col("thumbs_up_cnt_1d"), votes, 4),
-                "regeneration_rate_1d": ratio(F.col("regenerate_cnt_1d"), F.col("request_cnt_1d"), 4),
-                "satisfaction_rate_min": F.lit(float(satisfaction_rate_min)),
-                "regeneration_rate_max": F.lit(float(regeneration_rate_max)),
-            }
-        )
-        .select(
-            "date", "app_name", "feature_name", "agent_id", "feedback_cnt_1d", "thumbs_up_cnt_1d",
-            "thumbs_down_cnt_1d", "regenerate_cnt_1d", "request_cnt_1d", "satisfaction_rate_1d",
-            "regeneration_rate_1d", "satisfaction_rate_min", "regeneration_rate_max",
-            (F.col("satisfaction_rate_1d") < F.col("satisfaction_rate_min")).alias("is_satisfaction_breach"),
-            (F.col("regeneration_rate_1d") > F.col("regeneration_rate_max")).alias("is_regeneration_breach"),
-        )
-    )
+    voted = base.withColumn("_votes", F.col("thumbs_up_cnt_1d") + F.col("thumbs_down_cnt_1d"))
+    return _SATISFACTION.over(voted, satisfaction_rate_min=float(satisfaction_rate_min), regeneration_rate_max=float(regeneration_rate_max))
 
 
-def guardrail_violations(
-    guardrail_daily: DataFrame, trigger_rate_max: float = 0.20, p95_latency_ms_max: int = 300
-) -> DataFrame:
-    """Trigger and block rates; the latency bound is applied to the average."""
-    return (
-        guardrail_daily.withColumns(
-            {
-                "trigger_rate_1d": ratio(F.col("triggered_cnt_1d"), F.col("check_cnt_1d"), 4),
-                "block_rate_1d": ratio(F.col("block_cnt_1d"), F.col("check_cnt_1d"), 4),
-                "trigger_rate_max": F.lit(float(trigger_rate_max)),
-                "p95_latency_ms_max": F.lit(p95_latency_ms_max).cast("bigint"),
-            }
-        )
-        .select(
-            "date", "app_name", "rule_category", "action_taken", "check_cnt_1d", "triggered_cnt_1d", "block_cnt_1d",
-            "avg_guardrail_latency_ms", "trigger_rate_1d", "block_rate_1d", "trigger_rate_max", "p95_latency_ms_max",
-            (F.col("trigger_rate_1d") > F.col("trigger_rate_max")).alias("is_trigger_rate_breach"),
-            (F.col("avg_guardrail_latency_ms") > F.col("p95_latency_ms_max")).alias("is_latency_breach"),
-        )
-    )
+def guardrail_violations(guardrail_daily: DataFrame, trigger_rate_max: float = 0.20, p95_latency_ms_max: int = 300) -> DataFrame:
+    """Trigger and block rates of the guardrail rules."""
+    return _GUARDRAILS.over(guardrail_daily, trigger_rate_max=float(trigger_rate_max), p95_latency_ms_max=p95_latency_ms_max)
 
 
 _TEAM_COLUMNS = ("team_id", "team_name", "department", "cost_center", "budget_monthly_usd")

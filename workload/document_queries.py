@@ -17,7 +17,7 @@ from workload.oracles import big, usd_sum, with_ctes
 from workload.queries import ORACLES, QUERIES, register
 
 
-def _scratch(spark: SparkSession) -> str:
+def scratch(spark: SparkSession) -> str:
     """A fresh folder under the shared checkpoint folder; only a local session does without one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
@@ -29,7 +29,7 @@ def _scratch(spark: SparkSession) -> str:
 
 def _stored(frame: DataFrame) -> DataFrame:
     """The frame, computed once and kept under the shared folder."""
-    path = f"{_scratch(frame.sparkSession)}/rows"
+    path = f"{scratch(frame.sparkSession)}/rows"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
@@ -294,13 +294,13 @@ def _split(columns: str) -> list[str]:
 
 
 def _hourly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    where = _scratch(spark)
+    where = scratch(spark)
     jobs.start_hourly(_stream(spark, sf_dir), f"{where}/hourly", f"{where}/check").awaitTermination()
     return jobs.read_appended(spark, f"{where}/hourly").drop("_batch")
 
 
 def _daily_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    where = _scratch(spark)
+    where = scratch(spark)
     query = jobs.start_rollup(
         _stream(spark, sf_dir), summaries.FEATURE_DAILY, f"{where}/parts", f"{where}/daily", f"{where}/check"
     )
@@ -359,7 +359,7 @@ def _other_stream(spark: SparkSession, sf_dir: str, columns: str) -> DataFrame:
 
 
 def _rolled(stream: DataFrame, rollup) -> DataFrame:
-    where = _scratch(stream.sparkSession)
+    where = scratch(stream.sparkSession)
     jobs.start_rollup(stream, rollup, f"{where}/parts", f"{where}/daily", f"{where}/check").awaitTermination()
     return stream.sparkSession.read.parquet(f"{where}/daily")
 
@@ -397,7 +397,7 @@ _CHANGES = "concat('user_', user_id) as user_id, event_id as version, event_type
 
 def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last change of each user; a user's date moves from change to change."""
-    where = _scratch(spark)
+    where = scratch(spark)
     jobs.start_upsert(_other_stream(spark, sf_dir, _CHANGES), f"{where}/changes", f"{where}/check").awaitTermination()
     for _ in range(2):
         jobs.compact(spark, f"{where}/changes", f"{where}/now", ["user_id"], ["version"])
@@ -413,7 +413,7 @@ register(
 
 def _backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests as JSON lines, loaded, and the summary that the load stores."""
-    where = _scratch(spark)
+    where = scratch(spark)
     views.view(spark, sf_dir, "llm_request").write.option("ignoreNullFields", "false").json(f"{where}/raw")
     backfill.backfill_requests(spark, f"{where}/raw", f"{where}/warehouse")
     return spark.read.parquet(f"{where}/warehouse/feature_daily")
