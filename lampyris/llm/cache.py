@@ -9,19 +9,23 @@ from typing import Any
 class Recent(dict):
     """Values by key, computed when first asked for. When `size` are held, those not asked for since the last time go."""
 
-    def __init__(self, compute: Callable[[Any], Any], size: int = 400_000):
+    def __init__(self, compute: Callable[[Any], Any] | None = None, size: int = 200_000):
         super().__init__()
         self.compute, self.size, self.before = compute, size, {}
 
-    def holds(self, key: Hashable) -> bool:
-        return key in self or key in self.before
+    def kept(self, key: Hashable) -> Any:
+        """The value, or None; nothing goes for it."""
+        return self.get(key) or self.before.get(key)
 
-    def __missing__(self, key: Hashable) -> Any:
-        value = self.before.get(key)
-        if value is None:
-            value = self.compute(key)
+    def keep(self, key: Hashable, value: Any) -> None:
         if len(self) >= self.size:
             self.before = dict(self)
             self.clear()
         self[key] = value
+
+    def __missing__(self, key: Hashable) -> Any:
+        value = self.before.get(key)
+        if value is None:
+            value = self.compute(key)
+        self.keep(key, value)
         return value

@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lampyris.llm.components import components
-from lampyris.llm.scratch import materialise
+from lampyris.llm.scratch import free_name, materialise
 from lampyris.llm.words import SPACES, Texts, mix, pieces, utf8
 
 #: Bytes that one hash bucket should hold, and shingles of a chunk that is packed together.
-BUCKET_BYTES, CHUNK = 12 << 20, 1 << 21
+BUCKET_BYTES, CHUNK = 12 << 20, 1 << 20
 #: Documents on each side of a block product, and frequency from which a shingle's order matters.
 BLOCK, FREQUENT = 256, 16
 #: Sorts the null id; no table of this library uses it.
@@ -322,9 +322,7 @@ def without_similar(docs: DataFrame) -> DataFrame:
     """
     dropped = materialise(similar_documents(docs).where("doc_id <> component_id").select("doc_id"), "similar")
     rest = docs.where("doc_id is not null").join(dropped, "doc_id", "left_anti")
-    name = "copy_no"
-    while name in docs.columns:
-        name += "_"
+    name = free_name("copy_no", docs)
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
     one = rest.withColumn(name, F.row_number().over(order)).where(F.col(name) == 1)
     columns = [F.col(f"`{c}`") for c in docs.columns]

@@ -20,7 +20,7 @@ from lampyris.llm.words import NOT_ALNUM, Texts, pieces, utf8
 
 K1, B = 1.2, 0.75
 #: Documents of a block (as a shift), and bytes of text and documents of a shard.
-SHIFT, SHARD_BYTES, SHARD_DOCS = 6, 24 << 20, 60_000
+SHIFT, SHARD_BYTES, SHARD_DOCS = 6, 16 << 20, 60_000
 #: Largest query table that is sent to all shards; more queries are answered in several calls.
 MOST_QUERIES = 100_000
 DIGITS = 9
