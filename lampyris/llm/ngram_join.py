@@ -233,7 +233,8 @@ def _links(pairs: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
     """
     pairs = materialise(pairs, "pairs")
     sizes = pairs.groupBy("tile").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    groups = max(pairs.sparkSession.sparkContext.defaultParallelism, pairs.count() // 1024)
+    copies = members.join(sizes, "tile").agg(F.sum("parts")).first()[0] or 0
+    groups = max(pairs.sparkSession.sparkContext.defaultParallelism, pairs.count() // 1024, copies // 4096)
     slot = F.pmod(F.xxhash64("tile", "part"), F.lit(groups)).alias("slot")
     sets = sets.select("doc_id", "shingles")
     left = (
