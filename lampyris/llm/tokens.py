@@ -33,7 +33,7 @@ class Ids:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.parts = Recent(self._part)
+        self.parts = Recent(self._part, 400_000)
 
     def _part(self, part: str) -> bytes:
         shown = part.encode().decode("latin-1").translate(_SHOWN)
