@@ -2,7 +2,7 @@
 
 Public vocabularies say how well a text fits them: characters per token, the share of byte-fallback tokens and the entropy of its
 tokens. Bands for each language come from all documents of that language that pass the base rules: two and a half times the distance between the
-quartiles around them. What falls outside is rejected. Every whole word is encoded on its own, so a worker encodes each distinct word once.
+quartiles around them, and wider the fewer documents they come from. What falls outside is rejected. No language is judged by others. Every whole word is encoded on its own, so a worker encodes each distinct word once.
 """
 
 from __future__ import annotations
@@ -22,10 +22,11 @@ PIECES, BYTES = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers
 SYMBOLS = b"#*$%&|<>"
 #: Base rules: fewest words, and highest percentage of words in repeated five-word windows.
 LEAST_WORDS, MOST_REPEATED = 10, 20
-#: Width of a band in quartile distances, its least half-width, and the documents a language needs for bands of its own.
-WIDTH, LEAST_DOCS = 2.5, 200
+#: Width of a band in quartile distances. Quartiles of n documents scatter with 1 / sqrt(n): a band is wider by so many times that share.
+WIDTH, SCATTER = 2.5, 1.0
 #: A text of so many words has a band that is wider by the square root of 2.
 SHORT = 100
+#: Least half-widths.
 SLACK = {"chars_per_piece": 0.05, "chars_per_byte_token": 0.05, "fallback_share": 0.05, "entropy": 0.08, "entropy_bits": 0.5}
 #: Texts that fit a vocabulary well are never rejected for it: ordinary prose has up to so many characters per token.
 FITS = 6.0
@@ -153,17 +154,16 @@ def base_failed(name: str = "measures"):
 def bands(measured: DataFrame, language: str = "lang", name: str = "measures") -> DataFrame:
     """One row for each language: quartiles of each measure, and how far from them a long text may lie.
 
-    Values are rounded to 1/1000 first, so quartiles are exact and the same however rows are spread. A language of fewer
-    than `LEAST_DOCS` accepted documents gets the bands of all languages together.
+    Values are rounded to 1/1000 first, so quartiles are exact and the same however rows are spread. Every language has bands of
+    its own accepted documents, however few; they widen smoothly as those get fewer.
     """
     rows = measured.where(~base_failed(name)).select(F.col(language).cast("string").alias("language"), *(F.round(f"{name}.{m}", 3).alias(m) for m in MEASURES))
     quartiles = [F.percentile(m, F.array(F.lit(0.25), F.lit(0.75))).alias(m) for m in MEASURES]
     own = rows.groupBy("language").agg(F.count("*").alias("n"), *quartiles)
-    every = rows.agg(*quartiles).first()  # two numbers for each measure
     out = ["language"]
     for m in MEASURES:
-        q = F.when(F.col("n") >= LEAST_DOCS, F.col(m)).otherwise(F.array(*(F.lit(x) for x in every[m] or (None, None))))
-        reach = F.greatest(WIDTH * (q[1] - q[0]), F.lit(SLACK[m]))
+        q = F.col(m)
+        reach = F.greatest(WIDTH * (q[1] - q[0]), F.lit(SLACK[m])) * (1 + SCATTER / F.sqrt("n"))
         out += [q[0].alias(f"{m}_low"), q[1].alias(f"{m}_high"), reach.alias(f"{m}_reach")]
     return own.select(*out)
 

@@ -78,6 +78,26 @@ def test_bands_reject_text_that_fits_no_vocabulary(spark):
     assert stay.columns == extra.columns and {r.doc_id for r in stay.collect()} == kept and stay.first().measures == "own"
 
 
+def test_a_small_language_in_another_script_has_bands_of_its_own(spark):
+    rng = random.Random(12)
+    latin = "the of and water house under garden morning with light stone river every second people found".split()
+    hangul = ["".join(chr(rng.randrange(0xAC00, 0xD7A4)) for _ in range(rng.randint(2, 4))) for _ in range(300)]
+    rows = [(i, prose(rng, rng.randint(60, 200), latin), "en") for i in range(400)]
+    rows += [(1000 + i, prose(rng, rng.randint(60, 200), hangul), "ko") for i in range(150)] + [(2000, prose(rng, 100, hangul), "lone")]
+    got = {r.doc_id: r for r in fertility.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(r.kept for i, r in got.items() if 1000 <= i <= 2000 and not r.base_failed)
+    assert sum(r.base_failed for i, r in got.items() if 1000 <= i <= 2000) < 5
+    limits = {n: fertility.bands(_measures(spark, n)).first() for n in (199, 200, 400)}
+    widths = [r.entropy_bits_reach for r in limits.values()]
+    assert widths[0] > widths[1] > widths[2] and widths[0] == pytest.approx(widths[1], rel=0.01)
+
+
+def _measures(spark, n):
+    """n accepted documents of one language, all alike."""
+    zero = {c: F.lit(1.0) for c in fertility.MEASURES} | {"n_words": F.lit(100), "n_repeat_words": F.lit(0)}
+    return spark.range(n).select(F.lit("xx").alias("lang"), F.struct(*(v.alias(c) for c, v in zero.items())).alias("measures"))
+
+
 def test_quality_rules_of_nothing(spark):
     assert fertility.quality_rules(spark.createDataFrame([], SCHEMA)).collect() == []
 
