@@ -33,6 +33,12 @@ def bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(build_index(_read(spark, sf_dir, "documents")), asked, TOP)
 
 
+def bm25_search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose doc_id is divisible by 20, searched for in all documents."""
+    docs = _read(spark, sf_dir, "documents")
+    return search(build_index(docs), docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text"), TOP)
+
+
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     return similar_documents(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
@@ -87,6 +93,9 @@ QUERIES = {
     "op10_toxicity": toxicity_scores,
 }
 
+#: Further queries of an operator.
+MORE = {"op2_bm25_search_documents": bm25_search_documents}
+
 _FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ORACLES = {

@@ -2,8 +2,8 @@
 
 Each shard indexes the documents of a part of the input, all their words. Postings stand in document order and are covered by blocks
 of 64 documents; for each word and block the index holds the largest frequency and the least length, whose BM25 share
-bounds every document of the block. A query visits a shard's blocks from the highest sum of bounds down and ends, as WAND
-does, when no block can reach its k-th score any more. Scores use the statistics of all shards, so merged results are exact.
+bounds every document of the block. A query visits a shard's blocks from the highest sum of bounds down (not by a WAND pivot) and
+ends when no block can reach its k-th score any more; a long query sums all its postings. Scores use the statistics of all shards, so merged results are exact.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from lampyris.llm.words import NOT_ALNUM, Texts, pieces, utf8
 K1, B = 1.2, 0.75
 #: Documents of a block (as a shift), and bytes of text and documents of a shard.
 SHIFT, SHARD_BYTES, SHARD_DOCS = 6, 16 << 20, 60_000
-#: Largest query table that is sent to all shards; more queries are answered in several calls.
-MOST_QUERIES = 100_000
+#: Bytes of words (about) of the queries that are sent to all shards at a time; a larger query table takes more rounds over the index.
+ROUND_BYTES = 2 << 20
+#: From so many words on nearly every block can hold a hit: all postings of the words are summed without bounds.
+LONG = 64
 DIGITS = 9
 
 _ARRAYS = (
@@ -90,12 +92,19 @@ def build_index(docs: DataFrame) -> DataFrame:
     return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(build, schema), "index")
 
 
-def _queries(queries: DataFrame) -> dict[int, np.ndarray]:
-    """Distinct words of each query, by id; of equal ids the smallest text."""
-    rows = queries.groupBy("query_id").agg(F.min("text").alias("text")).where("query_id is not null").limit(MOST_QUERIES + 1).collect()
-    if len(rows) > MOST_QUERIES:
-        raise ValueError(f"more than {MOST_QUERIES} queries; give them in parts")
-    return {r.query_id: np.unique(Texts(*utf8(pa.array([r.text], pa.string())), NOT_ALNUM).hash) for r in rows}
+def _rounds(queries: DataFrame) -> tuple[DataFrame, int]:
+    """(round, query_id, words): distinct words of each query, of equal ids the smallest text; and the number of rounds."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            texts = Texts(*utf8(batch.column("text")), NOT_ALNUM)
+            own = [np.unique(texts.hash[a:b]).tobytes() for a, b in zip(texts.first[:-1], texts.first[1:])]
+            yield pa.record_batch({"query_id": batch.column("query_id"), "words": pa.array(own, pa.binary())})
+
+    rows = queries.select(F.col("query_id").cast("long").alias("query_id"), F.col("text").cast("string").alias("text")).where("query_id is not null")
+    rows = materialise(rows.groupBy("query_id").agg(F.min("text").alias("text")).mapInArrow(split, "query_id long, words binary"), "queries")
+    rounds = -(-(rows.agg(F.sum(F.length("words"))).first()[0] or 0) // ROUND_BYTES)
+    return rows.withColumn("round", F.pmod(F.xxhash64("query_id"), F.lit(max(1, rounds)))), rounds
 
 
 def _impact(tf: np.ndarray, length: np.ndarray, mean: float) -> np.ndarray:
@@ -136,13 +145,41 @@ def _top(shard: dict[str, np.ndarray], words: np.ndarray, idf: np.ndarray, mean:
     return [(s, place) for s, _, place in best]
 
 
+def _top_long(shard: dict[str, np.ndarray], words: np.ndarray, idf: np.ndarray, impact: np.ndarray, k: int) -> list[tuple[float, int]]:
+    """What `_top` gives, by the scores of all documents; `impact` is that of every posting."""
+    at = np.searchsorted(shard["terms"], words)
+    there = at < len(shard["terms"])
+    there[there] = shard["terms"][at[there]] == words[there]
+    score, docs, first = np.zeros(len(shard["ids"])), shard["docs"], shard["first"]
+    for t, w in zip(at[there], idf[there]):
+        a, b = first[t], first[t + 1]
+        score[docs[a:b]] += w * impact[a:b]
+    found = np.flatnonzero(score > 0)
+    if len(found) > k:
+        found = found[score[found] >= np.partition(score[found], -k)[-k] - 2 * 10.0**-DIGITS]
+    best = heapq.nlargest(k, ((round(float(score[j]), DIGITS), -int(shard["ids"][j]), int(j)) for j in found))
+    return [(s, place) for s, _, place in best]
+
+
 def search(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), doc_id, score: the k documents of highest BM25 for each query (query_id, text).
 
     A query counts each of its words once. Scores are rounded to 9 digits; of equal scores the smaller doc_id comes first.
-    Documents without any word of a query are not found; an empty query finds none.
+    Documents without any word of a query are not found; an empty query finds none. Any number of queries is answered: a round over
+    the index takes `ROUND_BYTES` of their words, and only those pass through the driver.
     """
-    asked = _queries(queries)
+    rows, rounds = _rounds(queries)
+    hits = None
+    for i in range(max(1, rounds)):
+        part = _hits(index, {r.query_id: np.frombuffer(r.words, np.uint64) for r in rows.where(F.col("round") == i).select("query_id", "words").collect()}, k)
+        part = materialise(part, "hits") if rounds > 1 else part
+        hits = part if hits is None else hits.unionByName(part)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
+    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+
+
+def _hits(index: DataFrame, asked: dict[int, np.ndarray], k: int) -> DataFrame:
+    """query_id, doc_id, score: the k best documents of each shard for the queries of a round, given by their words."""
     words = np.unique(np.concatenate([*asked.values(), np.zeros(0, np.uint64)]))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +192,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                 there = at < len(shard["terms"])
                 there[there] = shard["terms"][at[there]] == words[there]
                 df[there] += np.diff(shard["first"])[at[there]]
-        yield pa.record_batch({"word": pa.array([-1, -2, *range(len(words))], pa.int64()), "n": pa.array([n, total, *df.tolist()], pa.int64())})
+        some = np.flatnonzero(df)
+        yield pa.record_batch({"word": pa.array([-1, -2, *some.tolist()], pa.int64()), "n": pa.array([n, total, *df[some].tolist()], pa.int64())})
 
     counted = index.select("lengths", "terms", "first").mapInArrow(count, "word long, n long")
     found = {r.word: r.n for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}  # one for each word asked for
@@ -167,12 +205,16 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                shard, out = _open(row), []
+                shard, out, impact = _open(row), [], None
                 for query, own in asked.items():
-                    for score, place in _top(shard, own, idf[np.searchsorted(words, own)], mean, k):
+                    weights = idf[np.searchsorted(words, own)]
+                    if len(own) < LONG:
+                        top = _top(shard, own, weights, mean, k)
+                    else:
+                        impact = _impact(shard["tf"], shard["lengths"][shard["docs"]], mean) if impact is None else impact
+                        top = _top_long(shard, own, weights, impact, k)
+                    for score, place in top:
                         out.append((query, int(shard["ids"][place]) if shard["known"][place] else None, score))
                 yield pa.record_batch({"query_id": pa.array([o[0] for o in out], pa.int64()), "doc_id": pa.array([o[1] for o in out], pa.int64()), "score": pa.array([o[2] for o in out], pa.float64())})
 
-    hits = index.mapInArrow(answer, "query_id long, doc_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+    return index.mapInArrow(answer, "query_id long, doc_id long, score double")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lampyris.llm import fertility, licenses, mixing, preferences, search, secrets, toxicity
+from lampyris.llm.queries import MORE
 
 from .fixtures import FOLD, SCHEMA, WORDS, corpus, prose
 
@@ -212,6 +213,20 @@ def test_search_equals_full_scoring(spark, monkeypatch):
     assert search.search(empty, asked, 3).collect() == []
 
 
+@pytest.mark.parametrize("long", [1, 64, 10**9])
+def test_documents_are_searched_for_in_rounds(spark, path, monkeypatch, long):
+    rows = sorted({r[0]: r[1] for r in corpus(seed=7, n=300)}.items())
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    monkeypatch.setattr(search, "ROUND_BYTES", 4000)
+    monkeypatch.setattr(search, "LONG", long)
+    got = defaultdict(list)
+    for r in MORE["op2_bm25_search_documents"](spark, path).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.doc_id, r.score))
+    expected = {q: v for q, v in bm25(rows, [r for r in rows if r[0] % 20 == 0], 10).items() if v}
+    assert len(got) > 10 and {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in expected.items()}
+    assert all([s for _, s in v] == pytest.approx([s for _, s in expected[q]]) for q, v in got.items())
+
+
 # --- preferences --------------------------------------------------------------------
 
 
