@@ -1,6 +1,6 @@
 """Secret scans with a random forest against false positives (operator 7), in DataFrame functions only.
 
-Candidates are long runs of key-like characters with a digit. A forest judges them by length, character transitions, dictionary
+Candidates are long runs of key-like characters with a digit, and whatever values are assigned to key words. A forest judges them by length, character transitions, dictionary
 coverage, path and neighbouring words. It is trained on labelled findings: a few fixed ones, and those of the corpus that rules can label
 beyond doubt (published key formats and assigned values against numbers, dates, digests and identifiers).
 """
@@ -25,6 +25,13 @@ REDACTED = "[SECRET]"
 
 #: Words that stand before secrets or before harmless strings, formats of keys, common words and word parts.
 KEY_WORDS = r"(?i)(password|passwd|passphrase|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|auth|bearer|credentials?)"
+#: What may stand between a key word and the value assigned to it. A value of 6 or more characters without white space, quoted or bare, that is assigned to a key word; the first look back is the cheap one.
+BETWEEN = r"[\w-]{0,16}[\"'\]]?[ \t]{0,3}[=:]{1,2}>?[ \t]{0,3}[\"']?"
+ASSIGNED = (
+    r"(?<=[=:]>?[ \t]{0,3}[\"']?)(?<=" + f"(?:{KEY_WORDS}){BETWEEN})"
+    r"(?:(?<=\")[^\s\"]{6,}(?=\")|(?<=')[^\s']{6,}(?=')|[^\s\"'<>=:][^\s\"'<>]{4,}[^\s\"'<>,;.)\]}])"
+)
+EITHER = f"(?:{ASSIGNED}|{CANDIDATE})"
 HARMLESS_WORDS = r"(?i)(sha-?\d*|md5|checksum|digest|commit|revision|uuid|guid|isbn|doi|order|invoice|card|phone|version|build|example)"
 KEY_FORMATS = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|sk_live_[A-Za-z0-9]{16,})$"
 COMMON_WORDS = (
@@ -58,6 +65,19 @@ KNOWN = (
     ("see ", "release-notes-version-10", ".", 0.0),
     ("order ", "2023000000012", ",", 0.0),
     ("the ", "chapter1introduction", " ", 0.0),
+    ('password = "', "dragon1987", '"', 1.0),
+    ('secret: "', "purplemonkeydishwasher", '"', 1.0),
+    ("passphrase = '", "silvermountaindrift", "'", 1.0),
+    ('password: "', "bluehorizon", '"', 1.0),
+    ('secret = "', "openthegatefriend", '"', 1.0),
+    ('"auth_token": "', "violinteacup", '"', 1.0),
+    ('"client_secret": "', "QzXwVbNkLpRt", '"', 1.0),
+    ("passwd='", "tulip!granite", "'", 1.0),
+    ('token = "', "LkJhGfDsAzXcVbNmPoIu", '"', 1.0),
+    ("pwd=", "S3cur3!Pl@ce#9", " ", 1.0),
+    ("password: ", "required", " ", 0.0),
+    ("the secret: ", "everything", " ", 0.0),
+    ("token: ", "identifier", " ", 0.0),
 )
 
 
@@ -67,8 +87,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     Null and empty texts have none. Equal rows give equal candidates.
     """
     text = F.col("text").cast("string")
-    found = docs.where(text.rlike("[0-9]")).select(
-        F.col("doc_id"), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("found"), F.split(text, CANDIDATE, -1).alias("between"),
+    found = docs.where(text.rlike("[0-9=:]")).select(
+        F.col("doc_id"), F.regexp_extract_all(text, F.lit(EITHER), F.lit(0)).alias("found"), F.split(text, EITHER, -1).alias("between"),
     ).where(F.size("found") > 0)
     left = F.transform("between", lambda s: F.substring(s, -LEFT, LEFT))
     right = F.transform("between", lambda s: F.substring(s, 1, RIGHT))
@@ -100,7 +120,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "in_path": flag(F.col("left").rlike(r"(://\S*|[/\\.]|\w\.\w+)$") | F.col("right").rlike(r"^(/|\.\w)")),
         "assigned": flag(F.col("left").rlike(r"[=:]\s*[\"']?$")),
         "quoted": flag(F.col("left").rlike("[\"']$") & F.col("right").rlike("^[\"']")),
-        "key_word": flag(F.col("left").rlike(KEY_WORDS + r"\W{0,6}$")),
+        "key_word": flag(F.col("left").rlike(f"(?:{KEY_WORDS})(" + r"\W{0,6}|" + f"{BETWEEN})$")),
         "harmless_word": flag(F.col("left").rlike(HARMLESS_WORDS + r"\W{0,6}$")),
     })
 
@@ -108,7 +128,8 @@ def with_features(found: DataFrame) -> DataFrame:
 def labelled(found: DataFrame) -> DataFrame:
     """The findings that rules can label beyond doubt, with `label`; the others are left out."""
     secret = F.col("candidate").rlike(KEY_FORMATS) | (
-        F.col("left").rlike(KEY_WORDS + r"\s*[=:]\s*[\"']?$") & F.col("candidate").rlike("[A-Za-z]") & ~F.col("candidate").rlike(COMMON_WORDS)
+        F.col("left").rlike(KEY_WORDS + r"\s*[=:]\s*[\"']?$") & F.col("candidate").rlike("[A-Za-z]") & F.col("candidate").rlike("[0-9]")
+        & ~F.col("candidate").rlike(COMMON_WORDS + "|://")
     )
     harmless = (
         F.col("candidate").rlike("^[0-9-]+$") | F.col("candidate").rlike("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")
@@ -150,7 +171,7 @@ def redacted(docs: DataFrame, most: int = FINDINGS) -> DataFrame:
     found = secret_scan(docs, most).where("is_secret")
     key, strings = free_name("finding_doc", docs), free_name("finding_strings", docs)
     per_doc = found.groupBy(F.col("doc_id").alias(key)).agg(F.sort_array(F.collect_set("candidate"), asc=False).alias(strings))
-    may = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
+    may = F.coalesce(F.col("text").rlike(EITHER), F.lit(False))
     joined = docs.where(may).join(per_doc, F.col("doc_id").eqNullSafe(F.col(key)), "left")
     none = F.array().cast("array<string>")
     clean = F.aggregate(F.coalesce(strings, none), F.col("text"), lambda t, s: F.replace(t, s, F.lit(REDACTED)))

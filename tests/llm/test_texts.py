@@ -339,6 +339,25 @@ def test_secrets_are_told_from_numbers_and_digests(spark):
     assert clean.count() == 203 and texts[0] == 'the token = "[SECRET]" stays' == texts[None] and texts[2] == rows[2][1] and texts[500] is None and texts[501] == ""
 
 
+def test_short_plain_and_punctuated_values_of_key_words_are_masked(spark):
+    rng = random.Random(13)
+    hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    given = [
+        ('password = "hunter2024"', "hunter2024"), ('secret: "correcthorsebatterystaple"', "correcthorsebatterystaple"),
+        ('api_key = "qWeRtYuIoPaSdFgHjKlZxCvB"', "qWeRtYuIoPaSdFgHjKlZxCvB"), ("pwd=P@ssw0rd!2024#x", "P@ssw0rd!2024#x"),
+        ('{"db_password": "hunter2024"}', "hunter2024"), ("API_TOKEN_PROD='zebra!quartz'", "zebra!quartz"),
+    ]
+    harmless = ["the password: short", "no assignment of a password here", "time = 12:30:45 and ratio: 0.5000000", "a token, then words"]
+    for planted in (0, 200):
+        rows = [(i, f"see {t} there") for i, (t, _) in enumerate(given)] + [(50 + i, t) for i, t in enumerate(harmless)]
+        rows += [(100 + i, f'the token = "{hexa(40)}" stays' if i % 2 else f"commit {hexa(40)} fixed it") for i in range(planted)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        texts = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+        for i, (t, value) in enumerate(given):
+            assert texts[i] == f"see {t} there".replace(value, "[SECRET]"), (planted, texts[i])
+        assert [texts[50 + i] for i in range(len(harmless))] == harmless
+
+
 def test_secret_scan_of_nothing(spark):
     assert secrets.secret_scan(spark.createDataFrame([], SCHEMA)).collect() == []
     assert secrets.redacted(spark.createDataFrame([], SCHEMA)).collect() == []
