@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lampyris.llm.byte_bpe import encode
 from lampyris.llm.fertility import quality_rules
+from lampyris.llm.interval_search import build_index as build_interval_index, interval_search
 from lampyris.llm.licenses import license_scan
 from lampyris.llm.mixing import SEED, TERMS, mixed
 from lampyris.llm.ngram_join import similar_documents
 from lampyris.llm.packing import pack, token_pieces
 from lampyris.llm.preferences import last_reply_pairs, preference_segments
+from lampyris.llm.prefix_trie import EVERY, HEADS, prefix_trie, rebuilt
 from lampyris.llm.search import B, DIGITS, K1, build_index, search
 from lampyris.llm.secrets import secret_scan
 from lampyris.llm.token_counts import context_limits, length_histogram
 from lampyris.llm.toxicity import toxicity
 
 TOP = 10
+ITEM_TOP = 20
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -80,6 +84,24 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every whole text, and of the bytes that the ids turn back into."""
+    done = encode(_read(spark, sf_dir, "documents").select("doc_id", "text"), decoded=True)
+    sha = lambda c: F.sha2(F.col(c), 256).alias(f"{c}_sha256")
+    return done.select("doc_id", F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"), sha("ids"), sha("decoded"))
+
+
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents for every item of `benchmark`."""
+    items = _read(spark, sf_dir, "benchmark").select("item_id", "text")
+    return interval_search(build_interval_index(_read(spark, sf_dir, "documents")), items, ITEM_TOP, "item_id")
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations, rebuilt on shared beginnings."""
+    return prefix_trie(rebuilt(_read(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_token_counts": token_counts,
     "op2_bm25_search": bm25_search,
@@ -91,6 +113,9 @@ QUERIES = {
     "op8_preference_pairs": preference_pairs,
     "op9_fertility_rules": fertility_rules,
     "op10_toxicity": toxicity_scores,
+    "op11_byte_bpe": byte_bpe,
+    "op12_ranked_search": ranked_search,
+    "op13_prefix_trie": conversation_trie,
 }
 
 #: Further queries of an operator.
@@ -136,4 +161,32 @@ parts AS (
   UNION ALL SELECT conv_id, 'rejected', turn, r FROM sides JOIN fork USING (conv_id) WHERE turn >= fork AND r IS NOT NULL)
 SELECT conv_id AS pair_id, part, turn, said.role AS role, '<|' || coalesce(said.role, '') || '|>' || chr(10) || coalesce(said.text, '') || chr(10) || '<|end|>' || chr(10) AS rendered,
   CAST(part <> 'prompt' AND coalesce(said.role = 'assistant', false) AS INTEGER) AS loss_mask FROM parts""",
+    "op12_ranked_search": f"""
+WITH q AS (SELECT item_id, unnest(regexp_extract_all({_FOLD.format('text')}, '{_ALNUM}')) AS word FROM benchmark),
+asked AS (SELECT item_id, word, count(*) AS times FROM q GROUP BY ALL),
+d AS (SELECT doc_id, regexp_extract_all({_FOLD.format('text')}, '{_ALNUM}') AS words FROM documents),
+stats AS (SELECT count(*) FILTER (len(words) > 0) AS n_docs, CAST(sum(len(words)) AS BIGINT) AS n_all FROM d),
+p AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS size, unnest(words) AS word FROM d),
+tf AS (SELECT doc_id, size, word, count(*) AS tf FROM p WHERE word IN (SELECT word FROM asked) GROUP BY ALL),
+df AS (SELECT word, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, stats GROUP BY word, n_docs),
+s AS (SELECT item_id, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * size * n_docs) // n_all)))) AS BIGINT) AS score
+      FROM asked JOIN tf USING (word) JOIN df USING (word), stats GROUP BY item_id, doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= {ITEM_TOP}""",
+    "op13_prefix_trie": rf"""
+WITH t AS (SELECT conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place FROM conversations),
+own AS (SELECT conv_id, list(said ORDER BY place) AS turns, conv_id - conv_id % {EVERY} AS base,
+    CAST(xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+      lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, k: xor(v >> 1, (v & 1) * 3988292384))), 4294967295) % {HEADS} AS INTEGER) AS h
+  FROM t GROUP BY conv_id),
+whole AS (SELECT own.conv_id, list_concat(coalesce(base.turns[1:own.h], []), own.turns[own.h + 1:]) AS turns FROM own LEFT JOIN own base ON base.conv_id = own.base),
+prefix AS (SELECT conv_id, len(turns) AS size, d AS depth, turns[1:d] AS node FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM whole)),
+node AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = size), '')) AS ends_sha256 FROM prefix GROUP BY node, depth),
+above AS (SELECT *, node[1:depth - 1] AS up FROM node),
+kids AS (SELECT up AS node, depth - 1 AS depth, count(*) AS n_children FROM above WHERE depth > 0 GROUP BY ALL),
+full_node AS (SELECT node.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(len(regexp_extract_all(node.node[depth].text, '[^ 	-]+')), 0) AS saved
+  FROM above AS node LEFT JOIN kids USING (node, depth)),
+sums AS (SELECT node[1:e] AS node, e AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM (SELECT *, unnest(range(depth + 1)) AS e FROM full_node) GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_node n JOIN sums s ON s.node = n.node AND s.depth = n.depth LEFT JOIN node p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.node = n.up""",
 }
