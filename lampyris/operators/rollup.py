@@ -12,7 +12,10 @@ reducers as it has distinct values.
 value whose running row count reaches the target rank; it is exact and equals
 the discrete percentile of the raw rows, with one row per distinct value to
 look at instead of one per event.  Partials of different batches may simply be
-unioned, so the streaming jobs reuse both steps.
+unioned.
+
+``state``, ``merge`` and ``result`` are what the streaming jobs use: a state
+holds one row per key where values can be counted, and merging keeps it so.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _ROWS = "_rows"
+_VALUES = "_values"
 
 
 @dataclass(frozen=True)
@@ -138,6 +142,58 @@ class Rollup:
         parts += [F.expr(expression).alias(name) for m in self.measures for name, expression, _ in m.parts]
         return facts.groupBy(*grain).agg(*parts)
 
+    # -- mergeable states: one row per key where values can be counted -----
+    @property
+    def _counts_values(self) -> bool:
+        return self.percentile is not None and not self.percentile.bin_width
+
+    def _merges(self) -> list[Column]:
+        parts = [(_ROWS, "sum")] + [(name, how) for m in self.measures for name, _, how in m.parts]
+        return [(F.max(name) if how == "max" else F.sum(name)).alias(name) for name, how in parts]
+
+    def state(self, facts: DataFrame) -> DataFrame:
+        """Rows that ``merge`` can combine and ``result`` turns into the summary.
+
+        With a percentile of whole numbers there is one row per key: a map of
+        value to count stands for all its values, so its size is bounded by the
+        range of values.  Otherwise the rows are the partials, one per key and value.
+        """
+        parts = self.partials(facts)
+        if not self._counts_values:
+            return parts
+        counted = F.when(F.col("_value").isNotNull(), F.struct("_value", _ROWS))
+        return parts.groupBy(*self.keys).agg(*self._merges(), F.map_from_entries(F.collect_list(counted)).alias(_VALUES))
+
+    def merge(self, states: DataFrame) -> DataFrame:
+        """States of several batches as one row per key (and value).
+
+        Counts of equal values are added map by map; a key has one map per
+        state that is merged, few whatever the number of rows behind them.
+        """
+        if not self._counts_values:
+            return states.groupBy(*self.keys, *(["_value"] if self.percentile or self.distinct else [])).agg(*self._merges())
+        gathered = states.groupBy(*self.keys).agg(*self._merges(), F.collect_list(_VALUES).alias(_VALUES))
+        both = "map_zip_with(a, m, (v, x, y) -> coalesce(x, 0L) + coalesce(y, 0L))"
+        added = F.expr(f"aggregate(slice({_VALUES}, 2, greatest(size({_VALUES}) - 1, 0)), {_VALUES}[0], (a, m) -> {both})")
+        return gathered.withColumn(_VALUES, added)
+
+    def result(self, states: DataFrame) -> DataFrame:
+        """The summary of merged or unmerged states."""
+        if not self._counts_values:
+            return self.finish(states)
+        merged = self.merge(states)
+        p, kind = self.percentile, merged.schema[_VALUES].dataType.keyType.simpleString()
+        reached = f"aggregate(map_values({_VALUES}), 0L, (a, n) -> a + n)"
+        rank = f"greatest(({reached} * {p.percent} + 99) div 100, 1L)"
+        step = "if(a.hit is null and a.upto + e.value >= a.rank, e.key, a.hit)"
+        walk = (
+            f"aggregate(array_sort(map_entries({_VALUES})), struct(0L as upto, {rank} as rank, cast(null as {kind}) as hit), "
+            f"(a, e) -> struct(a.upto + e.value as upto, a.rank as rank, {step} as hit), a -> a.hit)"
+        )
+        results = [F.expr(m.result).alias(m.name) for m in self.measures]
+        out = merged.select(*self.keys, *results, F.expr(walk).alias(p.name))
+        return out.select(*self.columns) if self.columns else out
+
     # -- step 2 -----------------------------------------------------------
     def finish(self, partials: DataFrame) -> DataFrame:
         merges = [F.sum(_ROWS).alias(_ROWS)]

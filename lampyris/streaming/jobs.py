@@ -2,8 +2,9 @@
 
 Every sink writes one directory per (date, batch): a batch that is repeated
 after a failure replaces exactly its own directories, which together with the
-source checkpoint gives each row effect once.  Updating summaries keep additive
-partials per batch and recompute only the dates a batch touches from them.
+source checkpoint gives each row effect once.  Updating summaries keep mergeable
+states in a log-structured store (`segments.py`) and recompute only the dates a
+batch touches from its few live segments.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from lampyris.operators.quality import STATUS, VALID
 from lampyris.operators.rollup import Rollup
 from lampyris.plans import facts, summaries
 from lampyris.sources import writers
+from lampyris.streaming.segments import Segments
 
 BATCH = "_batch"
 WATERMARK = "5 seconds"
@@ -129,19 +131,14 @@ def start_rollup(
 ) -> StreamingQuery:
     """Continuously updated daily summary of one fact.
 
-    A batch adds its additive partials and re-finishes the dates it touched
-    from the stored partials; facts are never read again.
+    A batch adds its states to a log-structured store and re-finishes the days
+    it touched from the few live segments of each; facts are never read again.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        parts = rollup.partials(batch)
-        append_batch(parts, batch_id, partials_path)
-        spark = batch.sparkSession
-        stored = spark.read.schema(parts.schema.add(BATCH, T.LongType())).parquet(partials_path)
-        # The batch's own dates, from what it just wrote: no second source scan.
-        touched = dates_of(stored.where(F.col(BATCH) == batch_id))
-        if touched:
-            writers.overwrite_dates(rollup.finish(on_dates(stored, touched).drop(BATCH)), summary_path)
+        store = Segments(batch.sparkSession, partials_path)
+        if days := store.add(batch_id, rollup.state(batch), rollup.merge):
+            writers.overwrite_dates(rollup.result(store.read(days)), summary_path)
 
     return _start(rows, handle, checkpoint, **trigger)
 
