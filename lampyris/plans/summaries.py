@@ -234,6 +234,12 @@ def feature_daily_from_hourly(hourly: DataFrame) -> DataFrame:
     )
 
 
+def is_positive() -> Column:
+    """Feedback that counts its session as resolved."""
+    rated = (F.col("feedback_type") == "rating") & (F.col("rating_value") >= 4)
+    return (F.col("feedback_type") == "thumbs_up") | rated
+
+
 def session_daily(requests: DataFrame, feedback: DataFrame) -> DataFrame:
     """Sessions per feature: turns, tokens, duration, and how many were resolved.
 
@@ -254,10 +260,7 @@ def session_daily(requests: DataFrame, feedback: DataFrame) -> DataFrame:
         # Hundredths of a millisecond, half up.
         .withColumn("duration", F.expr("(_micros + 5) div 10"))
     )
-    positive = (F.col("feedback_type") == "thumbs_up") | (
-        (F.col("feedback_type") == "rating") & (F.col("rating_value") >= 4)
-    )
-    resolved = feedback.where(positive).select(*session).distinct().withColumn("resolved", F.lit(1))
+    resolved = feedback.where(is_positive()).select(*session).distinct().withColumn("resolved", F.lit(1))
     n = F.count(F.lit(1))
     return (
         activity.join(resolved, session, "left")
@@ -403,8 +406,7 @@ def prompt_version_daily(requests: DataFrame, evaluations: DataFrame | None = No
     A request id seen under several prompt keys on one day is a conflict: it is
     counted on each key and its evaluations fall back to the evaluated version.
     """
-    requests = _with_missing(requests, request_id="", prompt_id="", prompt_version="", model_name="")
-    named = requests.withColumns({c: or_unknown(F.col(c)) for c in _PROMPT_KEYS[1:]})
+    named = with_prompt_names(requests)
     request_key = ["date", "request_id"]
     # One row per request id: its keys are unique if the least and the greatest
     # agree; only ids with a conflict are looked at again.
@@ -439,7 +441,28 @@ def prompt_version_daily(requests: DataFrame, evaluations: DataFrame | None = No
                 "evaluation_score_den_1d": 0,
             }
         )
-    out = judged.join(conflicts, list(_PROMPT_KEYS), "left").fillna({"metadata_conflict_cnt_1d": 0})
+    return _prompt_columns(judged.join(conflicts, list(_PROMPT_KEYS), "left").fillna({"metadata_conflict_cnt_1d": 0}))
+
+
+def with_prompt_names(requests: DataFrame) -> DataFrame:
+    """Requests whose prompt id, version and model are ``unknown`` where blank."""
+    requests = _with_missing(requests, request_id="", prompt_id="", prompt_version="", model_name="")
+    return requests.withColumns({c: or_unknown(F.col(c)) for c in _PROMPT_KEYS[1:]})
+
+
+def prompt_summary(daily: DataFrame, counts: DataFrame | None) -> DataFrame:
+    """The prompt version summary from requests per key and the sums of attributed evaluations and conflicts per key."""
+    zeros = {
+        "evaluation_cnt_1d": 0, "pass_cnt_1d": 0, "fail_cnt_1d": 0, "evaluation_score_num_1d": 0.0, "evaluation_score_den_1d": 0,
+        "metadata_conflict_cnt_1d": 0,
+    }
+    if counts is None:
+        return _prompt_columns(daily.withColumns({c: F.lit(v).cast("double" if isinstance(v, float) else "bigint") for c, v in zeros.items()}))
+    counts = counts.withColumn("evaluation_score_num_1d", F.col("evaluation_score_num_1d").cast("double"))
+    return _prompt_columns(daily.join(counts.select(*_PROMPT_KEYS, *zeros), list(_PROMPT_KEYS), "left").fillna(zeros))
+
+
+def _prompt_columns(out: DataFrame) -> DataFrame:
     average = exact_ratio(F.col("evaluation_score_num_1d"), F.col("evaluation_score_den_1d"), 4)
     return out.withColumn("avg_evaluation_score", average).select(
         *_PROMPT_KEYS, "request_cnt_1d", "success_cnt_1d", "error_cnt_1d", "avg_latency_ms", "p95_latency_ms",

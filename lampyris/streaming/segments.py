@@ -97,6 +97,6 @@ class Segments:
 
     def read(self, days: Sequence[str] | None = None) -> DataFrame | None:
         """Rows of the live segments of the given days, or of all; None if there are none."""
-        states = [self._manifest(day).latest() for day in (self.days() if days is None else days)]
-        folders = [f for state in states for f in state.get("folders", [])]
+        states = [state for day in (self.days() if days is None else days) if (state := self._manifest(day).latest())]
+        folders = [f for state in states for f in state["folders"]]
         return self._read(folders, states[-1]["schema"]) if folders else None
