@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 from lampyris.contracts import CONTRACTS
 from lampyris.plans import backfill, facts, summaries
 from lampyris.plans.adapters import generations, scores, traces, trajectories
-from lampyris.streaming import jobs
+from lampyris.streaming import jobs, joins
+from lampyris.streaming.segments import Segments
+from lampyris.streaming.upserts import UpsertTable, start_keyed_upsert
 from workload import views
-from workload.oracles import big, usd_sum, with_ctes
+from workload.oracles import CTES, big, usd_sum, with_ctes
 from workload.queries import ORACLES, QUERIES, register
 
 
@@ -411,6 +414,109 @@ register(
 )
 
 
+# --- several micro-batches: merges, repeats, late conflicts, late feedback ------------------------
+
+_SLICES = 5
+
+
+def _sliced_events(spark: SparkSession, sf_dir: str, where: str) -> DataFrame:
+    """The events as a stream of one file per batch, in order of event_id."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    events = views.table(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    for i in range(_SLICES):
+        events.where(F.expr(f"event_id * {_SLICES} div {last + 1} = {i}")).coalesce(1).write.parquet(f"{where}/events/slice-{i}")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True)
+    return source.parquet(f"{where}/events")
+
+
+def _typed(events: DataFrame, columns: str, fact: str) -> DataFrame:
+    return facts.typed(events.selectExpr(*_split(columns)), fact, True)
+
+
+def _daily_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily summary over several batches, with the last of them added once more as after a failure."""
+    where = scratch(spark)
+    valid = facts.valid(_sliced_events(spark, sf_dir, where).selectExpr(*_split(_STREAMED)), "llm_request", fill_nulls=True, null_fails=True)
+    rollup = summaries.FEATURE_DAILY
+    jobs.start_rollup(valid, rollup, f"{where}/parts", f"{where}/daily", f"{where}/check").awaitTermination()
+    again = spark.read.parquet(f"{where}/events/slice-{_SLICES - 1}")
+    repeated = facts.valid(again.selectExpr(*_split(_STREAMED)), "llm_request", fill_nulls=True, null_fails=True)
+    store = Segments(spark, f"{where}/parts")
+    store.add(_SLICES - 1, rollup.state(repeated), rollup.merge)
+    return rollup.result(store.read())
+
+
+register("stream_feature_daily_batches", _daily_in_batches, _streamed_summary("date, app_name, feature_name, model_name", _D))
+
+# Requests come back under other prompt versions and are judged before and after; days follow from the request, so they meet.
+_PROMPTED = """
+  concat('req_', event_id % 3001) as request_id, concat('p_', event_id % 3001 % 4) as prompt_id,
+  case when event_id % 3001 % 7 = 0 then concat('v', event_id % 3) else 'v1' end as prompt_version, concat('m_', event_id % 3001 % 2) as model_name,
+  cast(event_id % 90 as int) as total_tokens, cast(event_id % 701 + 1 as int) as latency_ms,
+  case when event_type = 'error' then 'error' else 'success' end as status, cast(event_id % 1000 as double) / 10000 as estimated_cost_usd,
+  cast(date_add(DATE '2026-01-01', cast(event_id % 3001 % 5 as int)) as date) as date"""
+_JUDGED = """
+  concat('ev_', event_id) as evaluation_id, concat('req_', event_id * 7 % 3500) as request_id, cast(event_id % 100 as double) / 100 as score, event_id % 4 = 0 as passed,
+  concat('v', event_id % 3) as evaluated_prompt_version, 'm_1' as evaluated_model_name,
+  cast(date_add(DATE '2026-01-01', cast(event_id * 7 % 3500 % 3001 % 5 as int)) as date) as date"""
+_TURNS_OF = """
+  concat('req_', event_id) as request_id, event_type as app_name, concat('f_', user_id % 3) as feature_name, concat('s_', event_id % 1511) as session_id,
+  cast(event_id % 90 as int) as total_tokens, cast(event_id % 701 + 1 as int) as latency_ms, ts as created_at,
+  cast(date_add(DATE '2026-01-01', cast(event_id % 3 as int)) as date) as date"""
+_PRAISED = """
+  concat('fb_', event_id) as feedback_id, event_type as app_name, concat('f_', user_id % 3) as feature_name, concat('s_', event_id * 5 % 1511) as session_id,
+  'rating' as feedback_type, cast(event_id % 5 + 1 as int) as rating_value, cast(date_add(DATE '2026-01-01', cast(event_id * 5 % 3 as int)) as date) as date"""
+
+
+def _prompt_versions_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = scratch(spark)
+    requests = _typed(_sliced_events(spark, sf_dir, where), _PROMPTED, "llm_request")
+    source = spark.readStream.schema(views.table(spark, sf_dir, "events").schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True)
+    judged = _typed(source.parquet(f"{where}/events").where("event_id % 3 = 0"), _JUDGED, "evaluation")
+    for query in joins.start_prompt_versions(requests, judged, f"{where}/stores", f"{where}/summary", f"{where}/check"):
+        query.awaitTermination()
+    return spark.read.parquet(f"{where}/summary")
+
+
+def _sessions_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = scratch(spark)
+    events = _sliced_events(spark, sf_dir, where)
+    query = joins.start_sessions(_typed(events, _TURNS_OF, "llm_request"), _typed(events.where("event_id % 2 = 0"), _PRAISED, "feedback"), f"{where}/sums", f"{where}/summary", f"{where}/check")
+    query.awaitTermination()
+    return spark.read.parquet(f"{where}/summary")
+
+
+def _by_duckdb(columns: str, condition: str = "true") -> str:
+    """The same rows for the oracle."""
+    given = re.sub(r"cast\(date_add\(DATE '2026-01-01', cast\((.*?) as int\)\) as date\)", r"DATE '2026-01-01' + cast(\1 as int)", columns)
+    return f"(select {given} from events where {condition})"
+
+
+register(
+    "stream_prompt_version_daily", _prompt_versions_in_batches,
+    CTES["w_prompt_daily"].replace("f_llm_request", f"{_by_duckdb(_PROMPTED)} asked")
+    .replace("f_evaluation e", f"(select *, cast(round(score * 100) as bigint) as score_pct from {_by_duckdb(_JUDGED, 'event_id % 3 = 0')} judged) e"),
+)
+register(
+    "stream_session_daily", _sessions_in_batches,
+    CTES["w_session_daily"].replace("f_llm_request", f"{_by_duckdb(_TURNS_OF)} asked").replace("f_feedback", f"{_by_duckdb(_PRAISED, 'event_id % 2 = 0')} told"),
+)
+
+
+def _upserted_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last change of each user from bases and deltas: compacted after every second batch, deltas left beside the bases."""
+    where = scratch(spark)
+    table = UpsertTable(spark, f"{where}/users", ["user_id"], ["version"], buckets=8)
+    changes = _sliced_events(spark, sf_dir, where).selectExpr(*_split(_CHANGES))
+    start_keyed_upsert(changes, table, f"{where}/check", compact_every=2).awaitTermination()
+    return table.current().drop("_batch")
+
+
+register("stream_upsert_merge_on_read", _upserted_in_batches)
+ORACLES["stream_upsert_merge_on_read"] = ORACLES["stream_upsert_users"]
+
+
 def _backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests as JSON lines, loaded, and the summary that the load stores."""
     where = scratch(spark)
