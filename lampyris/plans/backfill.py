@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,16 +21,22 @@ def load_fact(
     """Type, validate and store one fact; returns the stored valid rows and counts.
 
     A date range leaves out rows of other dates; rows without a date lie in no
-    range, so they are judged, stored and counted with every load.
+    range, so they are judged and counted with every load, but stored once per
+    input: they stand under ``load_id``, which follows from the input's files
+    where none is given.
     """
     checked = facts.validated(raw, fact, fill_nulls=True)
-    ranged = readers.between_dates(checked, start, end)
-    if start or end:
-        ranged = ranged.unionByName(checked.where("date is null"))
-    counts = writers.write_validated(ranged, path, f"load_{fact}", load_id)
+    ranged = readers.between_dates(checked, start, end, or_undated=True)
+    counts = writers.write_validated(ranged, path, f"load_{fact}", load_id or input_id(raw))
     return writers.read_valid(spark, path, CONTRACTS[fact].schema), counts
 
 
+def input_id(raw: DataFrame) -> str | None:
+    """One id for the files a frame reads, whatever range of them is loaded; None for rows that come from no file."""
+    files = sorted(raw.inputFiles())
+    return hashlib.sha256("\n".join(files).encode()).hexdigest()[:32] if files else None
+
+
 def backfill_requests(
     spark: SparkSession,
     input_path: str,

@@ -33,13 +33,18 @@ def catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def between_dates(frame: DataFrame, start: date | str | None = None, end: date | str | None = None, column: str = "date") -> DataFrame:
-    """Inclusive range on the partition column, so partitions outside are not listed."""
-    if start is not None:
-        frame = frame.where(F.col(column) >= F.lit(str(start)).cast("date"))
-    if end is not None:
-        frame = frame.where(F.col(column) <= F.lit(str(end)).cast("date"))
-    return frame
+def between_dates(
+    frame: DataFrame, start: date | str | None = None, end: date | str | None = None, column: str = "date", or_undated: bool = False
+) -> DataFrame:
+    """Inclusive range on the partition column, so partitions outside are not listed; ``or_undated`` keeps rows without a date."""
+    day, inside = F.col(column), None
+    for bound, holds in ((start, day.__ge__), (end, day.__le__)):
+        if bound is not None:
+            condition = holds(F.lit(str(bound)).cast("date"))
+            inside = condition if inside is None else inside & condition
+    if inside is None:
+        return frame
+    return frame.where(inside | day.isNull() if or_undated else inside)
 
 
 def topic_stream(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:

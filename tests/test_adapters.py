@@ -253,7 +253,7 @@ def test_parts_of_a_trace_are_rejected_one_by_one(spark):
     got = {r._source_id: r._dq_errors for r in traces.rejects(opened(spark, {"id": "empty"}, journey(observations=odd, scores=[]))).collect()}
     assert got["o1"] == ["validity:unsupported_observation_type:missing"]
     assert got["o2"] == ["validity:unsupported_observation_type:guardrail"]
-    assert {"completeness:missing_query_text", "completeness:missing_retrieval_strategy"} <= set(got["o3"])
+    assert {"completeness:missing_query_text", "completeness:missing_retrieval_request_retrieval_strategy"} <= set(got["o3"])
     assert got["empty"] == ["completeness:missing_trace_envelope_created_at", "completeness:missing_trace_envelope_date"]
 
 

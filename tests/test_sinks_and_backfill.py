@@ -1,5 +1,6 @@
 import glob
 import json
+import os
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -169,3 +170,25 @@ def test_message_parsing_skips_broken_rows(spark):
     out = readers.parse_messages(messages, CONTRACTS["llm_request"])
     assert sorted(r.request_id or "" for r in out.collect()) == ["", "a"]
     assert facts.typed(out.where("request_id = 'a'"), "llm_request", fill_nulls=True).first().latency_ms == 5
+
+
+def test_dateless_rows_of_one_input_are_stored_once(spark, path):
+    """Two loads over different ranges of one input, then a load of another input."""
+    days = [date(2026, 1, 5), date(2026, 1, 6), None]
+    for name, first in (("a", 0), ("b", 10)):
+        os.makedirs(f"{path}/{name}")
+        with open(f"{path}/{name}/rows.json", "w") as out:
+            for i, day in enumerate(days):
+                row = {k: v for k, v in request(first + i).items()} | {
+                    "date": day and str(day), "created_at": "2026-01-05T09:00:00+00:00", "app_name": "a", "feature_name": "f", "user_id": "u", "session_id": "s",
+                    "provider": "p", "model_name": "m", "status": "success", "mode": "live",
+                }
+                out.write(json.dumps(row) + "\n")
+    load = lambda name, day: backfill.load_fact(spark, readers.json_lines(spark, f"{path}/{name}", CONTRACTS["llm_request"]), "llm_request", f"{path}/facts", day, day)
+    for day in ("2026-01-05", "2026-01-06"):
+        stored, counts = load("a", day)
+        assert counts["input_rows"] == 2
+    both = lambda: sorted(r.request_id for r in spark.read.parquet(f"{path}/facts").collect())
+    assert both() == ["r0", "r1", "r2"]
+    load("b", "2026-01-05")
+    assert both() == ["r1", "r10", "r12", "r2"]
