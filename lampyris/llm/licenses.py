@@ -4,6 +4,9 @@ Blocks are the lines of a text, and its paragraphs of several lines. A block's a
 the order of how often the pairs occur in the whole corpus, rarest first. A block meets a template if it holds at least
 `CONTAINED` of its pairs. Then they share one of the template's first |T| - ceil(c |T|) + 1 pairs (prefix filter), the block has at least
 ceil(c |T|) pairs (length filter), and the template's pairs from the shared one on must suffice (positional filter).
+
+Notices of sibling licenses differ in a few words, fewer than the threshold lets go. Where another label's template lacks so few of a template's pairs that
+its own text could meet it, a block must hold all of those pairs.
 """
 
 from __future__ import annotations
@@ -33,7 +36,8 @@ TEMPLATES = (
     ("apache-2", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("gpl", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    ("lgpl", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("lgpl", "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("agpl", "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
@@ -82,12 +86,24 @@ def pair_frequencies(docs: DataFrame, templates: tuple = TEMPLATES) -> dict[int,
     return {int(np.int64(r.pair).view(np.uint64)): r.n for r in rows}
 
 
+def telling_pairs(templates: tuple, contained: float = CONTAINED) -> list[set[int]]:
+    """For each template, the pairs that tell it apart from every template of another label whose text could meet it."""
+    sets = [set(pairs.tolist()) for pairs in _template_pairs(templates)]
+    out: list[set[int]] = [set() for _ in sets]
+    for t, own in enumerate(sets):
+        for u, other in enumerate(sets):
+            if templates[t][0] != templates[u][0] and len(own & other) >= contained * len(own):
+                out[t] |= own - other
+    return out
+
+
 class Scanner:
     """Templates in corpus order, with what the filters need."""
 
     def __init__(self, frequencies: dict[int, int], templates: tuple, contained: float):
         self.labels = [label for label, _ in templates]
         self.sets, self.need, self.index = [], [], {}
+        self.telling = telling_pairs(templates, contained)
         for t, pairs in enumerate(_template_pairs(templates)):
             ordered = sorted(pairs.tolist(), key=lambda p: (frequencies.get(p, 0), p))
             need = -int(-len(ordered) * contained // 1)
@@ -105,7 +121,7 @@ class Scanner:
                 if t in found or t in refused or len(block) < self.need[t] or len(self.sets[t]) - place < self.need[t]:
                     continue
                 share = len(block.intersection(self.sets[t]))
-                if share >= self.need[t]:
+                if share >= self.need[t] and self.telling[t] <= block:
                     found[t] = share / len(self.sets[t])
                 else:
                     refused.add(t)
@@ -125,7 +141,7 @@ def license_scan(docs: DataFrame, templates: tuple = TEMPLATES, contained: float
 
     n_base counts the places of the base phrases, first_word and last_word are their smallest and largest start (else null).
     labels also holds those of templates that a block meets; score is the largest share of a template found, 1 with a base
-    phrase, else 0; n_blocks counts blocks that meet a template. Null and empty texts have no words. Equal rows are
+    phrase, else 0; a block that lacks a pair which tells a template from its siblings does not meet it; n_blocks counts blocks that meet a template. Null and empty texts have no words. Equal rows are
     scanned alike; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
