@@ -9,6 +9,7 @@ ends when no block can reach its k-th score any more; a long query sums all its
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -111,6 +112,11 @@ def _impact(tf: np.ndarray, length: np.ndarray, mean: float) -> np.ndarray:
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
 
 
+def _late(shard: dict[str, np.ndarray], place: int) -> float:
+    """Greater for the document that comes first among equal scores: by ascending id, without an id last."""
+    return -int(shard["ids"][place]) if shard["known"][place] else -math.inf
+
+
 def _top(shard: dict[str, np.ndarray], words: np.ndarray, idf: np.ndarray, mean: float, k: int) -> list[tuple[float, int]]:
     """The k best (score, place) of one shard: of equal scores (to `DIGITS`) the smallest ids."""
     at = np.searchsorted(shard["terms"], words)
@@ -137,7 +143,7 @@ def _top(shard: dict[str, np.ndarray], words: np.ndarray, idf: np.ndarray, mean:
                 d = docs[a:b].astype(np.int64)
                 score[d - low] += w * _impact(shard["tf"][start + a : start + b], shard["lengths"][d], mean)
         for j in np.flatnonzero(score > 0):
-            item = (round(float(score[j]), DIGITS), -int(shard["ids"][low + j]), low + int(j))
+            item = (round(float(score[j]), DIGITS), _late(shard, low + int(j)), low + int(j))
             if len(best) < k:
                 heapq.heappush(best, item)
             elif item > best[0]:
@@ -157,7 +163,7 @@ def _top_long(shard: dict[str, np.ndarray], words: np.ndarray, idf: np.ndarray,
     found = np.flatnonzero(score > 0)
     if len(found) > k:
         found = found[score[found] >= np.partition(score[found], -k)[-k] - 2 * 10.0**-DIGITS]
-    best = heapq.nlargest(k, ((round(float(score[j]), DIGITS), -int(shard["ids"][j]), int(j)) for j in found))
+    best = heapq.nlargest(k, ((round(float(score[j]), DIGITS), _late(shard, int(j)), int(j)) for j in found))
     return [(s, place) for s, _, place in best]
 
 

@@ -228,6 +228,16 @@ def test_search_equals_full_scoring(spark, monkeypatch):
     assert search.search(empty, asked, 3).collect() == []
 
 
+@pytest.mark.parametrize("long", [1, 64])
+def test_documents_without_id_come_last_in_every_shard(spark, monkeypatch, long):
+    monkeypatch.setattr(search, "LONG", long)
+    rows = [(None, "rare pearl"), (5, "rare pearl"), (-3, "rare pearl"), (7, "other"), (8, "words")]
+    index = search.build_index(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    asked = spark.createDataFrame([(1, "pearl")], "query_id long, text string")
+    for k, want in ((1, [-3]), (2, [-3, 5]), (3, [-3, 5, None])):
+        assert [r.doc_id for r in search.search(index, asked, k).orderBy("rank").collect()] == want
+
+
 @pytest.mark.parametrize("long", [1, 64, 10**9])
 def test_documents_are_searched_for_in_rounds(spark, path, monkeypatch, long):
     rows = sorted({r[0]: r[1] for r in corpus(seed=7, n=300)}.items())
