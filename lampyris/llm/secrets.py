@@ -167,13 +167,25 @@ def secret_scan(docs: DataFrame, most: int = FINDINGS) -> DataFrame:
 
 
 def redacted(docs: DataFrame, most: int = FINDINGS) -> DataFrame:
-    """`docs` with each found secret replaced by `REDACTED` in `text`; all rows and columns stay, only texts with candidates move."""
-    found = secret_scan(docs, most).where("is_secret")
-    key, strings = free_name("finding_doc", docs), free_name("finding_strings", docs)
-    per_doc = found.groupBy(F.col("doc_id").alias(key)).agg(F.sort_array(F.collect_set("candidate"), asc=False).alias(strings))
-    may = F.coalesce(F.col("text").rlike(EITHER), F.lit(False))
-    joined = docs.where(may).join(per_doc, F.col("doc_id").eqNullSafe(F.col(key)), "left")
-    none = F.array().cast("array<string>")
-    clean = F.aggregate(F.coalesce(strings, none), F.col("text"), lambda t, s: F.replace(t, s, F.lit(REDACTED)))
+    """`docs` with each found secret replaced by `REDACTED` in `text`; all rows and columns stay.
+
+    A secret is cut out at the place where it was judged: the same characters elsewhere, as a word or inside one, stay as they are.
+    Verdicts belong to a doc_id and the text's digest, so rows without an id, or with the same one, do not touch each other's texts;
+    repeated rows are cut alike. Null and empty texts stay. Only texts with secrets move.
+    """
+    digest, doc, flags = (free_name(n, docs) for n in ("finding_digest", "finding_doc", "finding_flags"))
+    text = F.col("text").cast("string")
+    # The scan takes an id as it is: here it is the id with the digest.
+    found = secret_scan(docs.select(F.struct("doc_id", F.md5(text).alias("digest")).alias("doc_id"), "text"), most)
+    verdicts = F.sort_array(F.collect_set(F.struct("place", "is_secret")))
+    per_text = found.groupBy(F.col("doc_id.doc_id").alias(doc), F.col("doc_id.digest").alias(digest)).agg(
+        F.bool_or("is_secret").alias("any"), F.transform(verdicts, lambda v: v.is_secret).alias(flags),
+    ).where("any").drop("any")
+    may = F.coalesce(text.rlike(EITHER), F.lit(False))
+    joined = docs.where(may).join(per_text, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.md5(text) == F.col(digest)), "left")
+    between = F.split(text, EITHER, -1)
+    cut = F.arrays_zip(F.regexp_extract_all(text, F.lit(EITHER), F.lit(0)).alias("c"), F.slice(between, F.lit(2), F.size(flags)).alias("after"), F.col(flags).alias("secret"))
+    pieces = F.transform(cut, lambda x: F.concat(F.when(x.secret, F.lit(REDACTED)).otherwise(x.c), x.after))
+    clean = F.when(F.col(flags).isNull(), F.col("text")).otherwise(F.concat(between[0], F.array_join(pieces, "")))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return docs.where(~may).select(columns).unionByName(joined.withColumn("text", clean).select(columns))
