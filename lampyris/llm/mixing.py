@@ -55,7 +55,7 @@ def _with_tables(rates: DataFrame) -> DataFrame:
 def replicated(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
     """`docs` once for each copy, with `copy` (from 1) and `n_copies`, in globally shuffled order.
 
-    Rows are drawn by doc_id alone: equal ids get equal counts, and null ids are all drawn alike.
+    Rows are drawn by doc_id alone: equal ids get equal counts. Rows without an id are drawn, and shuffled, by the digest of their text.
     Columns of `docs` that are named like the added ones are replaced.
     """
     keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("copy", "n_copies")]
@@ -64,7 +64,8 @@ def replicated(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame
     tables = _with_tables(rates.select("source", "rate")).select(F.struct("source", "parts", "cdf").alias(table))
     if tables.count() <= 100_000:
         tables = F.broadcast(tables)
-    doc, cdf, parts = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col(f"{table}.cdf"), F.col(f"{table}.parts")
+    no_id = F.concat(F.lit("text:"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    doc, cdf, parts = F.coalesce(F.col("doc_id").cast("string"), no_id), F.col(f"{table}.cdf"), F.col(f"{table}.parts")
 
     def draw(part: Column) -> Column:
         return F.size(F.filter(cdf, lambda p: p <= _uniform(F.lit(str(seed)), part.cast("string"), doc)))
@@ -77,7 +78,7 @@ def replicated(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame
         .withColumn("n_copies", F.when(parts > 1, first + rest).otherwise(first)).where("n_copies > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
         .select(*keep, "copy", "n_copies")
-        .orderBy(F.xxhash64(F.lit(seed), "doc_id", "copy"))
+        .orderBy(F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), no_id, "copy")).otherwise(F.xxhash64(F.lit(seed), "doc_id", "copy")))
     )
 
 

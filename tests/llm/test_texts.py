@@ -175,6 +175,20 @@ def test_counts_follow_the_poisson_distribution(spark):
     assert mixing.replicated(docs, rates).columns == ["doc_id", "text", "source", "draw", "parts", "copy", "n_copies"]
 
 
+def test_rows_without_an_id_are_drawn_by_their_texts(spark):
+    """Their counts differ, repeated rows are drawn alike, and their order is no order of draws."""
+    rows = [(None, f"text {i % 4000}", "s") for i in range(8000)] + [(None, None, "s"), (None, "", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.replicated(docs, spark.createDataFrame([("s", 2.5)], "source string, rate double")).select("text", "n_copies", "copy").collect()
+    told = {}
+    for r in got:
+        told.setdefault(r.text or "", set()).add(r.n_copies)
+    assert all(len(counts) == 1 for counts in told.values()) and len({*map(tuple, told.values())}) > 5
+    assert len(got) / len(rows) == pytest.approx(2.5, rel=0.05)
+    firsts = [r.text for r in got if r.copy == 1]
+    assert firsts != sorted(firsts, key=str) and len({t for t in firsts[:1000]}) > 400
+
+
 def test_sources_reach_their_weights(spark):
     rows = [(i, "abcd" * (1 + i % 5), None if i % 10 == 9 else ("hot" if i % 10 < 6 else f"s{i % 10}")) for i in range(6000)] + [(9000, None, "hot"), (9001, "", "void")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -383,6 +397,25 @@ def test_short_plain_and_punctuated_values_of_key_words_are_masked(spark):
         assert [texts[50 + i] for i in range(len(harmless))] == harmless
 
 
+def test_secrets_are_cut_by_place_and_row(spark, monkeypatch):
+    """What is judged a secret at one place stays at others, inside words, and in other rows of the same id or of none."""
+    verdict = lambda found, forest: found.withColumns({"score": F.lit(1.0), "is_secret": F.col("left").rlike("token: \"$")})
+    monkeypatch.setattr(secrets, "judged", verdict)
+    monkeypatch.setattr(secrets, "train", lambda found, most: None)
+    long = " word".join(f'token: "value{i}" and password: "value{i}"' for i in range(3_000))
+    rows = [
+        (1, 'token: "secret1" and secret12 and xsecret1y'), (2, 'token: "summer" in summertime, password: "summer"'),
+        (None, 'password: "summer" of the first'), (None, 'token: "summer" of the second'), (3, 'password: "summer" of the first'),
+        (3, 'token: "summer" of the first'), (4, 'token: "aaaaaa"token: "aaaaaa"'), (4, 'token: "aaaaaa"token: "aaaaaa"'), (5, None), (6, ""), (7, long),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({n: F.lit(1) for n in ("finding_digest", "finding_doc", "finding_flags", "place")})
+    clean = secrets.redacted(docs)
+    assert clean.columns == docs.columns
+    plain = lambda t: t if t is None else re.sub(r'(?<=token: ")[^"]{6,}(?=")', "[SECRET]", t)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=key) == sorted(((i, plain(t)) for i, t in rows), key=key)
+
+
 def test_secret_scan_of_nothing(spark):
     assert secrets.secret_scan(spark.createDataFrame([], SCHEMA)).collect() == []
     assert secrets.redacted(spark.createDataFrame([], SCHEMA)).collect() == []
