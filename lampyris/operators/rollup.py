@@ -95,9 +95,9 @@ def peak(name: str, value: str) -> Measure:
 class Percentile:
     """Discrete percentile of ``value``.
 
-    ``bin_width`` splits the values of a group into ranges that are ranked in
-    separate tasks; set it where a group may hold very many distinct values
-    (real-valued columns).  Without it the distinct values of one group are
+    ``bin_width`` counts the values of a group in ranges and ranks only those
+    of the range that holds the percentile; set it where a group may hold very
+    many distinct values (real-valued columns).  Without it the distinct values of one group are
     ranked in one task, which suits millisecond durations.
     """
 
@@ -204,7 +204,7 @@ class Rollup:
         ]
         results = [F.expr(m.result).alias(m.name) for m in self.measures]
         if self.percentile and self.percentile.bin_width:
-            merged = self._binned_percentile(partials, merges)
+            merged = self._refined_percentile(partials.withColumn("_weight", F.col(_ROWS)), merges, merges)
             results.append(F.col(self.percentile.name))
         elif self.percentile:
             by_value = Window.partitionBy(*self.keys).orderBy("_value")
@@ -233,15 +233,19 @@ class Rollup:
 
         A percentile of whole numbers is taken in the same single aggregation:
         it combines on the map side and holds one entry per distinct value, so
-        a hot group costs no more than its value range.  Real values and
-        distinct counts take the two steps.
+        a hot group costs no more than its value range.  Distinct counts take
+        the two steps, and real values are selected by their histogram.
         """
         p = self.percentile
-        if self.distinct or (p and p.bin_width):
+        if self.distinct:
             return self.finish(self.partials(facts))
         parts = [F.count(F.lit(1)).alias(_ROWS)]
         parts += [F.expr(expression).alias(name) for m in self.measures for name, expression, _ in m.parts]
         results = [F.expr(m.result).alias(m.name) for m in self.measures]
+        if p and p.bin_width:
+            values = facts.withColumns({"_value": F.col(p.value), "_weight": F.lit(1)})
+            out = self._refined_percentile(values, parts, self._merges()).select(*self.keys, *results, p.name)
+            return out.select(*self.columns) if self.columns else out
         if p:
             kind = facts.schema[p.value].dataType
             parts.append(F.expr(f"percentile_disc({p.percent}/100D) within group (order by {p.value})").cast(kind).alias(p.name))
@@ -254,39 +258,40 @@ class Rollup:
         p = self.percentile.percent
         return F.greatest(F.expr(f"({of} * {p} + 99) div 100"), F.lit(1))
 
-    def _binned_percentile(self, partials: DataFrame, merges: list[Column]) -> DataFrame:
-        """Two-level ranking: bins first, then only the values of the hit bin."""
+    def _refined_percentile(self, values: DataFrame, parts: list[Column], merges: list[Column]) -> DataFrame:
+        """Selection by histogram: counts per bin name the bin of the rank, and only that bin is ranked value by value.
+
+        ``values`` has ``_value`` and ``_weight``; ``parts`` makes the
+        components of a bin, ``merges`` those of a group from its bins.  The
+        first pass moves one row per bin, the second the values of the bins
+        that were named; both combine on the map side.  Ranks come from
+        windows, which spill, so neither bins nor values are bounded.
+        """
         keys, p = list(self.keys), self.percentile
-        binned = partials.withColumn("_bin", F.floor(F.col("_value") / F.lit(p.bin_width)))
-        weight = F.when(F.col("_value").isNotNull(), F.col(_ROWS)).otherwise(F.lit(0))
-        in_bin = Window.partitionBy(*keys, "_bin").orderBy("_value")
-        ranked = binned.withColumn(
-            "_reached", F.sum(weight).over(in_bin.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        )
-        bins = ranked.groupBy(*keys, "_bin").agg(*merges, F.sum(weight).alias("_weight"))
+        into = F.when(F.isnan("_value"), F.lit(2**63 - 1)).otherwise(F.floor(F.col("_value") / F.lit(p.bin_width)))
+        binned = values.withColumn("_bin", into)
+        total = F.sum(F.when(F.col("_value").isNotNull(), F.col("_weight")).otherwise(F.lit(0))).alias("_weight")
+
         by_bin = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        bins = bins.withColumn("_upto", F.sum("_weight").over(by_bin)).withColumn(
-            "_of", F.sum("_weight").over(Window.partitionBy(*keys))
+        bins = binned.groupBy(*keys, "_bin").agg(*parts, total).withColumns(
+            {"_upto": F.sum("_weight").over(by_bin), "_of": F.sum("_weight").over(Window.partitionBy(*keys))}
         )
-        rank = self._rank("_of")
-        before = F.col("_upto") - F.col("_weight")
+        rank, before = self._rank("_of"), F.col("_upto") - F.col("_weight")
         hit = (F.col("_upto") >= rank) & (before < rank) & F.col("_bin").isNotNull()
-        merged_names = [_ROWS] + [name for m in self.measures for name, _, _ in m.parts]
-        how = {name: h for m in self.measures for name, _, h in m.parts}
         groups = bins.groupBy(*keys).agg(
-            *[(F.max(n) if how.get(n) == "max" else F.sum(n)).alias(n) for n in merged_names],
-            F.min(F.when(hit, F.col("_bin"))).alias("_hit_bin"),
-            F.min(F.when(hit, rank - before)).alias("_hit_rank"),
-        )
-        target = groups.alias("g")
-        values = ranked.where(F.col("_bin").isNotNull()).select(*keys, "_bin", "_value", "_reached").alias("v")
-        same = [F.col(f"g.{k}").eqNullSafe(F.col(f"v.{k}")) for k in keys]
-        same.append(F.col("g._hit_bin") == F.col("v._bin"))
-        same.append(F.col("v._reached") >= F.col("g._hit_rank"))
-        condition = same[0]
-        for part in same[1:]:
-            condition = condition & part
-        joined = target.join(values, condition, "left")
-        return joined.groupBy(*[F.col(f"g.{k}").alias(k) for k in keys]).agg(
-            *[F.max(F.col(f"g.{n}")).alias(n) for n in merged_names], F.min(F.col("v._value")).alias(p.name)
+            *merges, F.min(F.when(hit, F.col("_bin"))).alias("_bin"), F.min(F.when(hit, rank - before)).alias("_rank")
         )
+
+        # One struct as key: its fields are equal when both are NULL, and what
+        # is partitioned by it for the join is so for the ranking as well.  A
+        # group without values has no bin, and finds its rows without one.
+        place = F.struct(*keys, "_bin").alias("_place")
+        groups = groups.select(place, "*").drop("_bin")
+        counted = binned.groupBy(place, "_value").agg(total)
+        by_value = Window.partitionBy("_place").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = groups.join(counted, "_place").withColumn("_reached", F.sum("_weight").over(by_value))
+        names = [_ROWS] + [name for m in self.measures for name, _, _ in m.parts]
+        return ranked.groupBy("_place").agg(
+            *[F.max(name).alias(name) for name in names],
+            F.min(F.when(F.col("_reached") >= F.col("_rank"), F.col("_value"))).alias(p.name),
+        ).select("_place.*", *names, p.name).drop("_bin")

@@ -46,6 +46,29 @@ def test_binned_percentile_equals_plain(spark):
     assert {r.k: r.p for r in binned} == {k: _rank(v, 10) for k, v in groups.items()}
 
 
+def test_binned_percentile_of_edges_nulls_and_repeated_keys(spark):
+    """Values on bin edges, negative, infinite and NaN ones, groups of one bin, null values among others and partials of batches."""
+    rng = random.Random(3)
+    special = [-0.5, -0.01, 0.0, 0.01, 0.02, float("inf"), float("-inf"), float("nan"), None]
+    data = [(rng.choice([None, "a", "b"]), rng.choice([1, None]), rng.choice(special) if rng.random() < 0.7 else rng.uniform(-0.02, 0.02)) for _ in range(600)]
+    data += [("one", 1, 0.25)] * 5 + [("none", None, None)] * 3
+    frame = spark.createDataFrame(data, "k string, j int, x double").repartition(5)
+    order = lambda v: (v != v, v)
+    for percent in (1, 10, 50, 99):
+        rollup = Rollup(("k", "j"), (rows("n"), total("s", "j")), Percentile("p", "x", percent, bin_width=0.01))
+        groups = defaultdict(list)
+        for k, j, x in data:
+            groups[k, j].append(x)
+        expected = {}
+        for key, values in groups.items():
+            known = sorted((v for v in values if v is not None), key=order)
+            hit = known[max(-(-percent * len(known) // 100), 1) - 1] if known else None
+            expected[key] = (len(values), len(values) if key[1] else None, str(hit))
+        halves = rollup.partials(frame.where("x < 0.01")).unionByName(rollup.partials(frame.where("x >= 0.01 or x is null")))
+        for out in (rollup.build(frame), rollup.finish(halves)):
+            assert {(r.k, r.j): (r.n, r.s, str(r.p).replace("-0.0", "0.0") if r.p == 0 else str(r.p)) for r in out.collect()} == expected
+
+
 def test_null_keys_and_all_null_values_are_kept(spark):
     frame = spark.createDataFrame([(None, None, 0.5), (None, 3, 0.1), ("a", None, None)], "k string, v int, x double")
     out = Rollup(("k",), (rows("n"),), Percentile("p", "v", 95)).build(frame)
