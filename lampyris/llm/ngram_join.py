@@ -31,7 +31,7 @@ from lampyris.llm.scratch import free_name, materialise
 from lampyris.llm.words import SPACES, Texts, mix, pieces, utf8
 
 #: Bytes that one hash bucket should hold, and shingles of a chunk that is packed together.
-BUCKET_BYTES, CHUNK = 12 << 20, 1 << 20
+BUCKET_BYTES, CHUNK = 12 << 20, 1 << 19
 #: Documents on each side of a block product, and frequency from which a shingle's order matters.
 BLOCK, FREQUENT = 256, 16
 #: Sorts the null id; no table of this library uses it.
