@@ -1,10 +1,21 @@
-"""Computed values of recurring keys, in bounded memory."""
+"""Memory of the tasks: computed values of recurring keys within a bound, and freed memory handed back."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Hashable
 from typing import Any
 
+import pyarrow as pa
+
+
+def hand_back() -> None:
+    """Gives memory that was freed back to the system. Allocators keep it otherwise, and a worker lives on through the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
 
 class Recent(dict):
     """Values by key, computed when first asked for. When `size` are held, those not asked for since the last time go."""

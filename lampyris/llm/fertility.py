@@ -14,7 +14,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lampyris.llm.cache import Recent
+from lampyris.llm.cache import Recent, hand_back
 from lampyris.llm.scratch import free_name, materialise
 from lampyris.llm.words import SPACES, SHINGLE, Texts, pieces, utf8
 
@@ -143,6 +143,8 @@ def measure(docs: DataFrame, name: str = "measures") -> DataFrame:
             got = _measured(pa.record_batch({"text": batch.column(column)}), vocabulary)
             own = pa.StructArray.from_arrays([pa.array(got[c], k) for c, k in _FIELDS], names=[c for c, _ in _FIELDS])
             yield pa.record_batch([*batch.columns, own], names=[*batch.schema.names, name])
+        del vocabulary
+        hand_back()
 
     return docs.mapInArrow(run, schema)
 

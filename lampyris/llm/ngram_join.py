@@ -26,12 +26,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from lampyris.llm.cache import hand_back
 from lampyris.llm.components import components
 from lampyris.llm.scratch import free_name, materialise
 from lampyris.llm.words import SPACES, Texts, mix, pieces, utf8
 
 #: Bytes that one hash bucket should hold, and shingles of a chunk that is packed together.
-BUCKET_BYTES, CHUNK = 12 << 20, 1 << 19
+BUCKET_BYTES, CHUNK = 4 << 20, 1 << 19
 #: Documents on each side of a block product, and frequency from which a shingle's order matters.
 BLOCK, FREQUENT = 256, 16
 #: Sorts the null id; no table of this library uses it.
@@ -112,6 +113,8 @@ def _packer(buckets: int, whole: bool):
                     chunk, facts, held = [], [], 0
         if chunk:
             yield flush()
+        del chunk, facts
+        hand_back()
 
     return run
 
@@ -126,6 +129,7 @@ _COVER = "doc_id long, n long, k1 long, k2 long, cover long"
 
 def _cover(key: tuple, table: pa.Table) -> pa.Table:
     """Of one bucket: documents and how many of their shingles other chunks hold too."""
+    hand_back()
     payloads = table.column("payload").to_pylist()
     if key[0].as_py() < 0:
         known = pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in payloads])
@@ -200,6 +204,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _product(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     """Links between documents on the right and blocks on the left: one for each right document and block that has any."""
+    hand_back()
     a, b = [], []
     blocks = {k: g for k, g in left.groupby(["tile", "part"], sort=False)}
     for k, rows in right.groupby(["tile", "part"], sort=False):
