@@ -138,6 +138,7 @@ def measure(docs: DataFrame, name: str = "measures") -> DataFrame:
     column = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back()
         vocabulary = _Vocabulary()
         for batch in pieces(batches, "text"):
             got = _measured(pa.record_batch({"text": batch.column(column)}), vocabulary)

@@ -8,6 +8,7 @@ repeated as often as its lengths last. A document finds its place by its rank am
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Iterator
 
@@ -15,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from lampyris.llm.cache import hand_back
 from lampyris.llm.scratch import materialise
 from lampyris.llm.tokens import VOCABULARY, Ids
 
@@ -95,6 +97,10 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VO
                     yield made(rows)
                     rows, held = [], 0
             yield made(rows)
+        # The encoder and its cache refer to each other, so they would stay until a full collection.
+        del encoder
+        gc.collect()
+        hand_back()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, schema)
