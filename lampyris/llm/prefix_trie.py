@@ -34,19 +34,19 @@ _EMPTY = hashlib.sha256(b"").hexdigest()
 def rebuilt(conversations: DataFrame, every: int = EVERY, heads: int = HEADS) -> DataFrame:
     """conv_id, depth (from 1), size, k1, k2, n_words of every turn, and one row of depth 0 for each conversation; size is its number of turns.
 
-    Turns (conv_id, turn, role, text) stand in order of `turn`, nulls first, those of equal turn in the order of a hash. Conversation c begins with
+    Turns (conv_id, turn, role, text) stand in order of `turn`, nulls first, those of equal turn by role and text, nulls last. Conversation c begins with
     the first h turns of conversation c - c % every (all if it has fewer, none if it is absent), h being crc32(c) % heads, and goes on with its own
     turns after the first h. With heads = 1 conversations stay as they are. k1 and k2 are hashes of role and text, in which null counts as empty; n_words
     counts the words of the text. Rows without conv_id belong to no conversation and are left out; repeated rows are turns of their own.
     """
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     keyed = conversations.where("conv_id is not null").select(
-        F.col("conv_id").cast("long").alias("conv_id"), "turn", F.xxhash64(F.lit(1), role, text).alias("k1"), F.xxhash64(F.lit(2), role, text).alias("k2"),
+        F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text", F.xxhash64(F.lit(1), role, text).alias("k1"), F.xxhash64(F.lit(2), role, text).alias("k2"),
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_words"),
     )
-    order = [F.col("conv_id"), F.asc_nulls_first("turn"), F.col("k1"), F.col("k2")]
+    order = [F.col("conv_id"), F.asc_nulls_first("turn"), F.asc_nulls_last("role"), F.asc_nulls_last("text")]
     sorted_rows = keyed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.shiftright("at", 33))
-    sorted_rows = materialise(sorted_rows.drop("turn"), "turns")
+    sorted_rows = materialise(sorted_rows.drop("turn", "role", "text"), "turns")
     # One row for each conversation and sorted part: where it begins there, and how many of its turns stand in parts before.
     own = Window.partitionBy("conv_id")
     parts = sorted_rows.groupBy("conv_id", "part").agg(F.min("at").alias("begin"), F.count("*").alias("n"))
@@ -232,5 +232,7 @@ def prefix_trie(turns: DataFrame) -> DataFrame:
         "ends_sha256": F.when(F.col("depth") == F.col("size"), F.sha2(F.col("conv_id").cast("string"), 256)).otherwise(F.lit(_EMPTY)),
     })
     linked = [c for c in columns if c != "parent_conv_id"] + ["q1", "q2"]
-    joined = grouped.select(linked).unionByName(tails.where("not below_alone").select(linked)).join(parents, ["depth", "q1", "q2"], "left").select(columns)
+    joined = grouped.select(linked).unionByName(tails.where("not below_alone").select(linked)).join(parents, ["depth", "q1", "q2"], "left")
+    # The sketch may prove a node alone and not the one below it, whose only member is then the parent's too.
+    joined = joined.withColumn("parent_conv_id", F.coalesce("parent_conv_id", F.when(F.col("depth") > 0, F.col("conv_id")))).select(columns)
     return joined.unionByName(tails.where("below_alone").withColumn("parent_conv_id", F.col("conv_id")).select(columns))

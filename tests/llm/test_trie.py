@@ -90,3 +90,17 @@ def test_long_conversations_and_a_crowded_sketch(spark, monkeypatch):
     rows += [(c, 0, "user", "same") for c in range(100, 112)]
     monkeypatch.setattr(module, "DEPTH", 1)
     assert nodes(spark, rows) == plain(rows)
+
+
+def test_a_node_proven_alone_above_one_that_is_not(spark, monkeypatch):
+    """In a narrow sketch some prefixes collide and those before them do not."""
+    monkeypatch.setattr(module, "WIDEST", 1)
+    rows = [(c, t, "user", f"own {c} {t}") for c in range(1, 60) for t in range(30)]
+    assert nodes(spark, rows, heads=1) == plain(rows, heads=1)
+
+
+def test_turns_of_equal_number_stand_by_role_and_text(spark):
+    """Each conversation begins as the one before it, if ties stand in this order; nulls come last."""
+    said = [("assistant", "b"), ("assistant", None), ("user", "a"), ("user", "c"), ("user", None), (None, "a")]
+    rows = [(c, turn, *said[i]) for c in range(1, 7) for turn in (None, 3) for i in range(c if turn else 1)]
+    assert nodes(spark, rows[::-1], heads=1) == plain(rows, heads=1)
