@@ -64,9 +64,9 @@ def one_of(*values: str) -> str:
     return values[0] if len(values) == 1 else f"coalesce({', '.join(values)})"
 
 
-def text_map(variant: str) -> str:
-    """A JSON object as map<string,string>; empty for anything else."""
-    return f"coalesce(try_variant_get({variant}, '$', 'map<string,string>'), cast(map() as map<string,string>))"
+def text_map(root: str, path: str) -> str:
+    """The JSON object at the path as map<string,string>; empty for anything else."""
+    return f"coalesce(try_variant_get({root}, '$.{path}', 'map<string,string>'), cast(map() as map<string,string>))"
 
 
 def overlay(upper: str, lower: str) -> str:
@@ -138,7 +138,12 @@ def elapsed_ms(start: str, end: str) -> str:
 
 def objects(array_sql: str) -> str:
     """Only the elements that are JSON objects."""
-    return f"filter({array_sql}, x -> try_variant_get(x, '$', 'map<string,variant>') is not null)"
+    return f"filter({array_sql}, x -> {is_object('x')})"
+
+
+def is_object(variant: str) -> str:
+    """Whether it is a JSON object; a structure without fields copies none of it."""
+    return f"try_variant_get({variant}, '$', 'struct<>') is not null"
 
 
 def variants(variant: str) -> str:
@@ -146,6 +151,15 @@ def variants(variant: str) -> str:
     return f"try_variant_get({variant}, '$', 'array<variant>')"
 
 
+def first_list(*held: tuple[str, str]) -> str:
+    """The first (root, path) that holds a value, as array<variant>; NULL if that is no list. A list is copied once."""
+    if not held:
+        return "cast(null as array<variant>)"
+    (root, path), *rest = held
+    taken = f"{present(at(root, path))} is not null"
+    return f"coalesce(try_variant_get({root}, '$.{path}', 'array<variant>'), if({taken}, null, {first_list(*rest)}))"
+
+
 def signal(value: str) -> str:
     """Text as a comparable tag: trimmed, lower case, underscores for blanks."""
     return f"replace(lower(trim({value})), ' ', '_')"

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from lampyris.functions.documents import at, first_of, instant, integer, integer_of, layered, one_of, real, text, text_map
+from lampyris.functions.documents import first_of, instant, integer, integer_of, layered, one_of, real, text, text_map
 
 # --- Fixed values: accepted spellings ---------------------------------------
 START = ("startTime", "start_time", "timestamp", "createdAt", "created_at")
@@ -26,7 +26,7 @@ METADATA_COST = ("estimated_cost_usd", "total_cost_usd")
 
 def metadata_parts(record: str) -> tuple[str, str]:
     """An observation's metadata and that of the trace it embeds, as maps."""
-    return text_map(at(record, "metadata")), text_map(at(record, "trace.metadata"))
+    return text_map(record, "metadata"), text_map(record, "trace.metadata")
 
 
 def start_time(record: str) -> str:

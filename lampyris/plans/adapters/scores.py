@@ -64,14 +64,16 @@ def _synonyms(value: str, own: tuple[str, ...], others: dict[str, tuple[str, ...
     return f"case when {_in(value, own)} then {value} {cases} else {otherwise} end"
 
 
-def normalize(scores: DataFrame) -> DataFrame:
+def normalize(scores: DataFrame, only_labels: bool = False) -> DataFrame:
     """One row per score with class, all event columns, labels and evidence.
 
     ``scores`` has VARIANT columns ``s`` (the score) and ``t`` (trace context).
+    With ``only_labels`` the ids are the only event columns.
     """
+    payload = "sha2(cast(s as string), 256)"
     layers = [f"m{i}" for i in range(len(_LAYERS))]
     merged = scores.selectExpr(
-        "s", "t", f"{text_map(at('t', 'metadata'))} as tm", *[f"{text_map(at('s', p))} as {n}" for n, p in zip(layers, _LAYERS)]
+        "s", "t", f"{text_map('t', 'metadata')} as tm", *[f"{text_map('s', p)} as {n}" for n, p in zip(layers, _LAYERS)]
     ).withColumn("tags", F.col(layers[0]))
     for layer in (*layers[1:], "tm"):
         # Settled step by step: every merge mentions the one before it.
@@ -96,7 +98,6 @@ def normalize(scores: DataFrame) -> DataFrame:
             name=name,
             created_at=instant(first_of("s", *_TIME)),
             score=f"case when coalesce({text(value, None)}, '') <> '' then coalesce({real(value)}, double('NaN')) end",
-            payload_hash="sha2(cast(s as string), 256)",
             signals=(
                 f"filter(concat(array({signal(text(first_of('s', 'source')))}, {name}, "
                 f"{signal(text(first_of('s', 'dataType', 'data_type')))}), "
@@ -151,9 +152,9 @@ def normalize(scores: DataFrame) -> DataFrame:
     observed = text(first_of("s", "observationId", "observation_id"))
     mode = f"lower({text(m('mode'))})"
     events = typed.selectExpr(
-        "score_class", "payload_hash",
+        "s", "score_class",
         *columns(
-            score_id=f"coalesce(nullif({text(first_of('s', *_ID))}, ''), concat('score_', substring(payload_hash, 1, 16)))",
+            score_id=f"coalesce(nullif({text(first_of('s', *_ID))}, ''), concat('score_', substring({payload}, 1, 16)))",
             trace_id=context("traceId", "trace_id"),
             request_id=context("requestId", "request_id", default=observed),
             run_id=context("runId", "run_id"),
@@ -231,10 +232,13 @@ def normalize(scores: DataFrame) -> DataFrame:
     ]
     checked = events.withColumn(ERRORS, F.expr(labels(checks)))
     checked = checked.withColumn(STATUS, F.expr(f"if(size({ERRORS}) = 0, '{VALID}', '{REJECTED}')"))
+    if only_labels:
+        checked = checked.select("s", "score_id", "trace_id", "_source_id", "_evidence_trace", ERRORS, STATUS)
+    # The payload's hash stands above the barrier, so only rows and queries that show it pay for it.
     evidence = with_source_evidence(
-        checked, "langfuse", "score_event", F.col("_source_id"), F.col("_evidence_trace"), F.col("payload_hash")
+        settled(checked), "langfuse", "score_event", F.col("_source_id"), F.col("_evidence_trace"), F.expr(payload)
     )
-    return settled(evidence.drop("payload_hash", "_evidence_trace"))
+    return evidence.drop("s", "_evidence_trace")
 
 
 def standalone(lines: DataFrame, column: str = "value") -> DataFrame:

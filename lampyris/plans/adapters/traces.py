@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lampyris.contracts import AGENT_RUN, AGENT_SPAN, RETRIEVAL, TOOL_CALL, FactContract
 from lampyris.functions.documents import (
-    at, columns, elapsed_ms, first_of, integer, json_list, layered, layered_variant, objects, one_of, overlay, parsed, present,
+    at, columns, elapsed_ms, first_list, first_of, integer, is_object, json_list, layered, layered_variant, objects, one_of, overlay, parsed, present,
     real, settled, sha, text, text_map, unparsable, variant_of, variants,
 )
 from lampyris.operators.quality import ERRORS, REJECTED, STATUS, VALID, with_source_evidence
@@ -27,7 +27,6 @@ SPAN_TYPES = ("span", "chain")
 TOOL_TYPES = ("tool",)
 RETRIEVAL_TYPES = ("retriever", "retrieval")
 KNOWN_TYPES = SPAN_TYPES + TOOL_TYPES + RETRIEVAL_TYPES + ("generation",)
-_ENVELOPE_REQUIRED = ("trace_id", "created_at", "date")
 _RUN_REQUIRED = (
     "run_id", "trace_id", "agent_id", "agent_name", "app_name", "user_id", "session_id", "task_type", "start_time",
     "end_time", "created_at", "date", "environment",
@@ -66,20 +65,13 @@ def _end(record: str, md: str) -> str:
 
 
 def documents(lines: DataFrame, column: str = "value") -> DataFrame:
-    """One row per trace document with its context and per-trace roll-ups."""
+    """One row per trace document with its context and its lists of observations and scores."""
     inner = present(at("r", "trace"))
-    is_object = f"try_variant_get(({inner}), '$', 'map<string,variant>') is not null"
-    opened = parsed(lines, column, "r").selectExpr("r", f"if({is_object}, {inner}, r) as t").selectExpr(
-        "r", "t", f"{text_map(at('t', 'metadata'))} as tm",
-        f"coalesce({objects(variants(variant_of('r', 'observations', 'trace.observations')))}, array()) as raw_os",
-        f"coalesce({objects(variants(one_of(variant_of('r', *_SCORE_LISTS), variant_of('t', *_SCORE_LISTS))))}, array()) as ss",
+    opened = parsed(lines, column, "r").selectExpr("r", f"if({is_object(inner)}, {inner}, r) as t").selectExpr(
+        "r", "t", f"{text_map('t', 'metadata')} as tm",
+        f"coalesce({objects(first_list(('r', 'observations'), ('r', 'trace.observations')))}, array()) as vs",
+        f"coalesce({objects(first_list(*[(root, name) for root in 'rt' for name in _SCORE_LISTS]))}, array()) as ss",
     )
-    # Each observation with its own metadata and the one merged over the trace's.
-    own, embedded = obs.metadata_parts("x")
-    staged = opened.withColumn("os", F.expr(f"transform(raw_os, x -> named_struct('v', x, 'a', {own}, 'b', {embedded}))"))
-    staged = staged.withColumn("os", F.expr(f"transform(os, x -> named_struct('v', x.v, 'own', {overlay('x.a', 'x.b')}))"))
-    merged_os = f"transform(os, x -> named_struct('v', x.v, 'own', x.own, 'md', {overlay('x.own', 'tm')}))"
-    opened = staged.withColumn("os", F.expr(merged_os)).drop("raw_os")
 
     def m(*keys: str) -> str:
         return layered("tm", *keys)
@@ -93,40 +85,64 @@ def documents(lines: DataFrame, column: str = "value") -> DataFrame:
             session_id=text(one_of(first_of("t", "sessionId", "session_id"), m("session_id"))),
             meta_run=text(m("run_id", "agent_run_id")),
             meta_task=text(m("task_type", "agent_task_type")),
-            started=f"coalesce({obs.start_time('t')}, array_min(transform(os, o -> {obs.start_time('o.v')})))",
+            is_dated=f"{obs.start_time('t')} is not null or exists(vs, v -> {obs.start_time('v')} is not null)",
         ),
     )
     run = "(meta_run <> '' and meta_task <> '')"
     rolled = named.selectExpr("*", f"{run} as has_run", f"if({run}, meta_run, '') as run_id")
-    checks = obs.missing("trace_envelope", _ENVELOPE_REQUIRED)
-    dated = rolled.selectExpr("*", "started as created_at", "cast(started as date) as date")
-    return settled(dated.withColumn("envelope_errors", F.expr(obs.labels(checks))))
+    checks = obs.missing("trace_envelope", ("trace_id",))
+    checks += [("not is_dated", label) for _, label in obs.missing("trace_envelope", ("created_at", "date"))]
+    return rolled.withColumn("envelope_errors", F.expr(obs.labels(checks))).drop("is_dated")
 
 
-def _intact(traces: DataFrame) -> DataFrame:
-    return traces.where("size(envelope_errors) = 0")
+def _intact(traces: DataFrame, *needed: str, where: str = "true") -> DataFrame:
+    """Columns of the usable traces that also meet the condition; what nobody asks for is not computed."""
+    usable = settled(traces.select(*needed, F.expr(f"size(envelope_errors) = 0 and {where}").alias("usable")))
+    return usable.where("usable").drop("usable")
+
+
+def _started(traces: DataFrame) -> DataFrame:
+    """With the start of the trace, else the first of its observations."""
+    started = f"coalesce({obs.start_time('t')}, array_min(transform(vs, v -> {obs.start_time('v')})))"
+    return traces.withColumn("started", F.expr(started)).selectExpr("*", "started as created_at", "cast(started as date) as date")
 
 
 def envelopes(traces: DataFrame) -> DataFrame:
     """Correlation ids and bounds of every usable trace."""
-    return _intact(traces).selectExpr(
+    needed = ("t", "tm", "vs", "trace_id", "trace_name", "run_id", "has_run", "user_id", "session_id")
+    return _started(_intact(traces, *needed)).selectExpr(
         "trace_id", "'langfuse' as source_system", "'trace' as source_entity", "trace_name", "run_id",
         "has_run as has_run_metadata", f"{text(layered('tm', 'app_name'))} as app_name",
         f"coalesce({text(layered('tm', 'feature_name'), None)}, trace_name) as feature_name", "user_id", "session_id",
         f"{text(layered('tm', 'environment', 'env'))} as environment", "created_at", "date",
-        "size(os) as observation_count",
+        "size(vs) as observation_count",
     )
 
 
-def _checked(frame: DataFrame, checks: list[tuple[str, str]], entity: str, source: str, source_trace: str) -> DataFrame:
+def _checked(
+    frame: DataFrame, checks: list[tuple[str, str]], entity: str, source: str, source_trace: str, only_labels: bool = False
+) -> DataFrame:
+    """Rows with labels, status and evidence; with `only_labels` only the trace id of their other columns."""
     labelled = frame.withColumn(ERRORS, F.expr(obs.labels(checks)))
     labelled = labelled.withColumn(STATUS, F.expr(f"if(size({ERRORS}) = 0, '{VALID}', '{REJECTED}')"))
+    if only_labels:
+        labelled = labelled.select(source, F.col(source_trace).alias("_trace"), "trace_id", ERRORS, STATUS)
+        source_trace = "_trace"
+    # Evidence stands above the barrier, so only rows and queries that show it pay for it.
     source_id = F.expr(text(first_of(source, "id", "observationId", "traceId")))
     payload = F.expr(f"sha2(cast({source} as string), 256)")
-    return settled(with_source_evidence(labelled, "langfuse", entity, source_id, F.expr(source_trace), payload).drop(source))
+    return with_source_evidence(settled(labelled), "langfuse", entity, source_id, F.expr(source_trace), payload).drop(source)
+
+
+def _with_metadata(traces: DataFrame) -> DataFrame:
+    """os: each observation (v) with its own metadata and the one merged over the trace's (md)."""
+    own, embedded = obs.metadata_parts("v")
+    parts = traces.withColumn("os", F.expr(f"transform(vs, v -> named_struct('v', v, 'a', {own}, 'b', {embedded}))"))
+    parts = parts.withColumn("os", F.expr(f"transform(os, x -> named_struct('v', x.v, 'own', {overlay('x.a', 'x.b')}))"))
+    return parts.withColumn("os", F.expr(f"transform(os, x -> named_struct('v', x.v, 'own', x.own, 'md', {overlay('x.own', 'tm')}))")).drop("vs")
 
 
-def runs(traces: DataFrame) -> DataFrame:
+def runs(traces: DataFrame, only_labels: bool = False) -> DataFrame:
     """Agent runs of traces that name both a run and a task."""
 
     def m(*keys: str) -> str:
@@ -146,7 +162,8 @@ def runs(traces: DataFrame) -> DataFrame:
     output_text = text(one_of(first_of("t", "output"), m("output")))
     statuses = f"transform(os, o -> {obs.status('o.v', 'o.md')})"
     stated = f"lower({text(m('status'))})"
-    rolled = _intact(traces).where("has_run").selectExpr(
+    needed = ("r", "t", "tm", "vs", "trace_id", "user_id", "session_id", "meta_run", "meta_task")
+    rolled = _with_metadata(_started(_intact(traces, *needed, where="has_run"))).selectExpr(
         "*",
         f"coalesce({obs.end_time('t')}, array_max(transform(os, o -> {_end('o.v', 'o.md')}))) as ended",
         f"transform(os, o -> {_type('o.v')}) as types",
@@ -190,18 +207,19 @@ def runs(traces: DataFrame) -> DataFrame:
         ),
     )
     checks = obs.missing("agent_run", _RUN_REQUIRED) + [("duration_ms <= 0", "validity:non_positive_duration")]
-    return _checked(events, checks, "trace", "r", "trace_id")
+    return _checked(events, checks, "trace", "r", "trace_id", only_labels)
 
 
 def _exploded(traces: DataFrame, options: Sequence[str]) -> DataFrame:
     """Observations of the given types with their position among them."""
-    picked = f"filter(os, o -> {_in(_type('o.v'), options)})"
-    rows = _intact(traces).selectExpr(
-        "trace_id as doc_trace_id", "trace_name", "user_id", "has_run", "run_id as doc_run_id", "tm",
-        f"posexplode({picked}) as (position, item)",
+    picked = f"filter(vs, v -> {_in(_type('v'), options)})"
+    needed = ("trace_id", "trace_name", "user_id", "has_run", "run_id", "tm", "vs")
+    rows = _intact(traces, *needed).selectExpr(
+        "trace_id as doc_trace_id", "trace_name", "user_id", "has_run", "run_id as doc_run_id", "tm", f"posexplode({picked}) as (position, o)",
     )
-    return rows.selectExpr(
-        "doc_trace_id", "trace_name", "user_id", "has_run", "doc_run_id", "tm", "position", "item.v as o", "item.md as md",
+    own, embedded = obs.metadata_parts("o")
+    return rows.selectExpr("*", f"{own} as own", f"{embedded} as embedded").selectExpr("*", f"{overlay('own', 'embedded')} as stated").selectExpr(
+        "doc_trace_id", "trace_name", "user_id", "has_run", "doc_run_id", "position", "o", f"{overlay('stated', 'tm')} as md",
     ).selectExpr(
         "*",
         *columns(
@@ -233,7 +251,7 @@ def _common() -> dict[str, str]:
     )
 
 
-def spans(traces: DataFrame) -> DataFrame:
+def spans(traces: DataFrame, only_labels: bool = False) -> DataFrame:
     events = _exploded(traces, SPAN_TYPES).selectExpr(
         "o", "doc_trace_id",
         *columns(
@@ -255,10 +273,10 @@ def spans(traces: DataFrame) -> DataFrame:
         ),
     )
     checks = obs.missing("agent_span", _SPAN_REQUIRED) + [("duration_ms <= 0", "validity:non_positive_duration")]
-    return _checked(events, checks, "observation", "o", "doc_trace_id").drop("doc_trace_id")
+    return _checked(events, checks, "observation", "o", "doc_trace_id", only_labels).drop("doc_trace_id")
 
 
-def tool_calls(traces: DataFrame) -> DataFrame:
+def tool_calls(traces: DataFrame, only_labels: bool = False) -> DataFrame:
     arguments = one_of(variant_of("o", "input"), layered_variant(_OBJECTS, "arguments", "args"))
     result = text(first_of("o", "output"))
     events = _exploded(traces, TOOL_TYPES).selectExpr(
@@ -278,10 +296,10 @@ def tool_calls(traces: DataFrame) -> DataFrame:
         ),
     )
     checks = obs.missing("agent_tool_call", _TOOL_REQUIRED) + [("duration_ms <= 0", "validity:non_positive_duration")]
-    return _checked(events, checks, "observation", "o", "doc_trace_id").drop("doc_trace_id")
+    return _checked(events, checks, "observation", "o", "doc_trace_id", only_labels).drop("doc_trace_id")
 
 
-def retrievals(traces: DataFrame) -> DataFrame:
+def retrievals(traces: DataFrame, only_labels: bool = False) -> DataFrame:
 
     def m(*keys: str) -> str:
         return layered("md", *keys)
@@ -340,23 +358,23 @@ def retrievals(traces: DataFrame) -> DataFrame:
         ("hit_count > returned_count", "consistency:hit_count_exceeds_returned_count"),
         ("total_latency_ms <= 0", "validity:non_positive_total_latency"),
     ]
-    return _checked(events, checks, "observation", "o", "doc_trace_id").drop("doc_trace_id")
+    return _checked(events, checks, "observation", "o", "doc_trace_id", only_labels).drop("doc_trace_id")
 
 
-def embedded_scores(traces: DataFrame) -> DataFrame:
+def embedded_scores(traces: DataFrame, only_labels: bool = False) -> DataFrame:
     """Scores of a trace with the trace's slim context, normalised."""
     context = ("id", "traceId", "trace_id", "name", "sessionId", "session_id", "userId", "user_id", "requestId",
                "request_id", "runId", "run_id", "projectName", "app_name", "feature_name", "environment", "env", "metadata")
     slim = ", ".join(f"'{name}', {at('t', name)}" for name in context)
-    rows = _intact(traces).where("size(ss) > 0")
+    rows = _intact(traces, "t", "ss", where="size(ss) > 0")
     # Built once per trace, before its scores are exploded.
     with_context = rows.selectExpr(f"to_variant_object(named_struct({slim})) as t", "ss")
-    return score_adapter.normalize(with_context.selectExpr("explode(ss) as s", "t"))
+    return score_adapter.normalize(with_context.selectExpr("explode(ss) as s", "t"), only_labels)
 
 
 def rejected_documents(traces: DataFrame) -> DataFrame:
     """Traces without usable envelope; nothing else is taken from them."""
-    broken = traces.where("size(envelope_errors) > 0").select("r", "trace_id", F.col("envelope_errors").alias(ERRORS))
+    broken = settled(traces.select("r", "trace_id", F.col("envelope_errors").alias(ERRORS))).where(f"size({ERRORS}) > 0")
     labelled = broken.withColumn(STATUS, F.lit(REJECTED))
     source_id = F.expr(text(first_of("r", "id", "observationId", "traceId")))
     payload = F.expr("sha2(cast(r as string), 256)")
@@ -370,7 +388,7 @@ def unparsable_documents(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def unsupported_observations(traces: DataFrame) -> DataFrame:
     """Observations of unknown type, labelled with the type."""
-    rows = _intact(traces).selectExpr("trace_id", f"explode(filter(os, o -> not {_in(_type('o.v'), KNOWN_TYPES)})) as item").selectExpr("trace_id", "item.v as o")
+    rows = _intact(traces, "trace_id", "vs").selectExpr("trace_id", f"explode(filter(vs, v -> not {_in(_type('v'), KNOWN_TYPES)})) as o")
     kind = f"coalesce(nullif({_type('o')}, ''), 'missing')"
     labelled = rows.withColumn(ERRORS, F.expr(f"array(concat('validity:unsupported_observation_type:', {kind}))"))
     labelled = labelled.withColumn(STATUS, F.lit(REJECTED))
@@ -386,7 +404,7 @@ _REJECT_COLUMNS = (
 
 def rejects(traces: DataFrame) -> DataFrame:
     """Every rejected part of the documents with its evidence."""
-    parts = [runs(traces), spans(traces), tool_calls(traces), retrievals(traces), embedded_scores(traces)]
+    parts = [part(traces, only_labels=True) for part in (runs, spans, tool_calls, retrievals, embedded_scores)]
     out = rejected_documents(traces).select(*_REJECT_COLUMNS).unionByName(
         unsupported_observations(traces).select(*_REJECT_COLUMNS)
     )

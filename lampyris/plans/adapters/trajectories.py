@@ -40,9 +40,9 @@ def documents(lines: DataFrame, column: str = "value") -> DataFrame:
     """One row per trajectory with its laid-out spans (array ``items``)."""
     opened = parsed(lines, column, "r").selectExpr(
         "r",
-        f"{text_map(at('r', 'metadata'))} as md",
+        f"{text_map('r', 'metadata')} as md",
         f"coalesce({objects(variants(at('r', 'conversations')))}, array()) as turns",
-        f"{text_map(at('r', 'tool_error_counts'))} as tool_errors",
+        f"{text_map('r', 'tool_error_counts')} as tool_errors",
     )
 
     def m(*keys: str) -> str:
