@@ -32,10 +32,10 @@ def distinct_payloads(lines: DataFrame, column: str = "value") -> DataFrame:
     return _hashed(lines, column).groupBy("_payload_hash").agg(F.min("_text").alias("_text"))
 
 
-def normalize(lines: DataFrame, column: str = "value", deduplicate: bool = True) -> DataFrame:
+def normalize(lines: DataFrame, column: str = "value", deduplicate: bool = True, only_labels: bool = False) -> DataFrame:
     """Normalised requests with error labels, status and source evidence.
 
-    Text that cannot be parsed becomes a reject of its own.
+    Text that cannot be parsed becomes a reject of its own. With `only_labels` the request's id is the only one of its columns.
     """
     source = distinct_payloads(lines, column) if deduplicate else _hashed(lines, column)
     own, embedded = obs.metadata_parts("r")
@@ -129,6 +129,8 @@ def normalize(lines: DataFrame, column: str = "value", deduplicate: bool = True)
     labels = F.when(F.col("_broken"), F.array(F.lit(UNPARSABLE))).otherwise(F.expr(obs.labels(checks)))
     checked = normalized.withColumn(ERRORS, labels)
     checked = checked.withColumn(STATUS, F.expr(f"if(size({ERRORS}) = 0, '{VALID}', '{REJECTED}')"))
+    if only_labels:
+        checked = checked.select("request_id", "_source_id", "_payload_hash", "_type", "_broken", ERRORS, STATUS)
     evidence = with_source_evidence(
         checked, "langfuse", "generation", F.col("_source_id"), None, F.col("_payload_hash")
     )

@@ -40,11 +40,11 @@ def _stored(frame: DataFrame) -> DataFrame:
 _MS = "date_trunc('millisecond', ts)"
 
 
-def _generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _generations(spark: SparkSession, sf_dir: str, only_labels: bool = False) -> DataFrame:
     docs = views.documents(spark, sf_dir, "generation")
     # Every tenth document is replayed.
     replayed = docs.unionByName(docs.where("event_id % 10 = 0")).drop("event_id")
-    return generations.normalize(replayed)
+    return generations.normalize(replayed, only_labels=only_labels)
 
 
 # Milliseconds are cut off after a float product of seconds, as the data model
@@ -83,13 +83,13 @@ register(
 )
 register(
     "adapter_generation_rejects",
-    lambda s, d: generations.rejects(_generations(s, d)).select("request_id", F.array_join("_dq_errors", ",").alias("errors")),
+    lambda s, d: generations.rejects(_generations(s, d, only_labels=True)).select("request_id", F.array_join("_dq_errors", ",").alias("errors")),
     f"select request_id, errors from ({_GEN}) t where errors <> ''",
 )
 
 
-def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scores.normalize(scores.standalone(views.documents(spark, sf_dir, "score")))
+def _scores(spark: SparkSession, sf_dir: str, only_labels: bool = False) -> DataFrame:
+    return scores.normalize(scores.standalone(views.documents(spark, sf_dir, "score")), only_labels)
 
 
 register(
@@ -121,7 +121,7 @@ register(
 )
 register(
     "adapter_score_rejects",
-    lambda s, d: scores.rejects(_scores(s, d)).select("score_id", F.array_join("_dq_errors", ",").alias("errors")),
+    lambda s, d: scores.rejects(_scores(s, d, only_labels=True)).select("score_id", F.array_join("_dq_errors", ",").alias("errors")),
     """select concat('score_', event_id) as score_id, case event_id % 6 when 1 then 'validity:invalid_rating_value'
         when 2 then 'validity:invalid_score_range' when 3 then 'validity:unknown_score_classification'
         else 'consistency:conflicting_score_classification' end as errors
