@@ -124,45 +124,83 @@ def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, lis
         yield batch.column("doc_id").to_numpy(zero_copy_only=False), [np.frombuffer(s, np.uint64) for s in batch.column("shingles").to_pylist()]
 
 
-_COVER = "doc_id long, n long, k1 long, k2 long, cover long"
+_COUNTS, _COVER = "slot int, known boolean, payload binary", "doc_id long, n long, k1 long, k2 long, cover long"
+#: Covered shingles, one entry each at most, that one slot of documents should gather.
+SLOT = 1 << 20
 
 
-def _cover(key: tuple, table: pa.Table) -> pa.Table:
-    """Of one bucket: documents and how many of their shingles other chunks hold too."""
+def _once(known: np.ndarray) -> np.ndarray:
+    """Columns (doc_id, n, k1, k2, cover): one for each id, with the largest n (then key) and the sum of `cover`."""
+    known = known[:, np.lexsort((known[3], known[2], known[1], known[0]))]
+    last = np.ones(known.shape[1], bool)
+    last[:-1] = known[0, 1:] != known[0, :-1]
+    starts = np.flatnonzero(np.concatenate(([True], last[:-1])))
+    out = known[:, last]
+    out[4] = np.add.reduceat(known[4], starts)
+    return out
+
+
+def _dealt(rows: np.ndarray, known: bool, slots: int) -> pa.Table:
+    """Rows about documents (ids first, one column each) packed by slot, so that a bucket makes no row for each document."""
+    slot = (mix(rows[0].view(np.uint64)) % np.uint64(slots)).astype(np.int64)
+    order = np.argsort(slot, kind="stable")
+    rows, cuts = rows[:, order], np.searchsorted(slot[order], np.arange(slots + 1))
+    full = np.flatnonzero(np.diff(cuts))
+    payloads = [np.ascontiguousarray(rows[:, cuts[s] : cuts[s + 1]]).tobytes() for s in full]
+    return pa.table({"slot": pa.array(full, pa.int32()), "known": pa.array([known] * len(full), pa.bool_()), "payload": pa.array(payloads, pa.binary())})
+
+
+def _cover(slots: int):
+    """Of one bucket: documents and how many of their shingles other chunks hold too, or what is known of documents."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        hand_back()
+        payloads = table.column("payload").to_pylist()
+        if key[0].as_py() < 0:
+            known = pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in payloads])
+            return _dealt(_once(np.stack([known.column(c).to_numpy() for c in ("doc_id", "n", "k1", "k2", "cover")])), True, slots)
+        lows, owners = [], []
+        for p in payloads:
+            n, docs = np.frombuffer(p, np.int64, 2).tolist()
+            lows.append(np.frombuffer(p, np.uint32, n, 16))
+            local = np.frombuffer(p, np.uint16, n, 16 + 4 * n)
+            ids = np.frombuffer(p, np.int64, docs, 16 + 6 * n) if docs else np.zeros(1, np.int64)
+            marked = local == _MANY
+            owners.append((ids[np.where(marked, 0, local)], marked))
+        low = np.concatenate(lows)
+        ids = np.concatenate([o for o, _ in owners])
+        marked = np.concatenate([m for _, m in owners])
+        order = np.argsort(low, kind="stable")
+        low = low[order]
+        starts = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
+        sizes = np.diff(np.append(starts, len(low)))
+        marks = np.add.reduceat(marked[order].astype(np.int64), starts)
+        found = np.repeat((sizes > 1) | (marks > 0), sizes) & ~marked[order]
+        return _dealt(np.stack(np.unique(ids[order][found], return_counts=True)), False, slots)
+
+    return run
+
+
+def _summed(key: tuple, table: pa.Table) -> pa.Table:
+    """The documents of one slot, each with its counts from all buckets."""
     hand_back()
-    payloads = table.column("payload").to_pylist()
-    if key[0].as_py() < 0:
-        known = pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in payloads])
-        return known
-    lows, owners = [], []
-    for p in payloads:
-        n, docs = np.frombuffer(p, np.int64, 2).tolist()
-        lows.append(np.frombuffer(p, np.uint32, n, 16))
-        local = np.frombuffer(p, np.uint16, n, 16 + 4 * n)
-        ids = np.frombuffer(p, np.int64, docs, 16 + 6 * n) if docs else np.zeros(1, np.int64)
-        marked = local == _MANY
-        owners.append((ids[np.where(marked, 0, local)], marked))
-    low = np.concatenate(lows)
-    ids = np.concatenate([o for o, _ in owners])
-    marked = np.concatenate([m for _, m in owners])
-    order = np.argsort(low, kind="stable")
-    low = low[order]
-    starts = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
-    sizes = np.diff(np.append(starts, len(low)))
-    marks = np.add.reduceat(marked[order].astype(np.int64), starts)
-    found = np.repeat((sizes > 1) | (marks > 0), sizes) & ~marked[order]
-    docs, counts = np.unique(ids[order][found], return_counts=True)
-    none = pa.nulls(len(docs), pa.int64())
-    return pa.table({"doc_id": pa.array(docs, pa.int64()), "n": none, "k1": none, "k2": none, "cover": pa.array(counts, pa.int64())})
+    parts = []
+    for known, payload in zip(table.column("known").to_pylist(), table.column("payload").to_pylist()):
+        rows = np.frombuffer(payload, np.int64).reshape(5 if known else 2, -1)
+        if not known:
+            nothing = np.full(rows.shape[1], -1)
+            rows = np.stack([rows[0], nothing, nothing, nothing, rows[1]])
+        parts.append(rows)
+    once = _once(np.concatenate(parts, axis=1))
+    return pa.table({c: pa.array(once[k], pa.int64()) for k, c in enumerate(("doc_id", "n", "k1", "k2", "cover"))})
 
 
 def _covered(frame: DataFrame, shingles: int, whole: bool) -> DataFrame:
     """doc_id, n, k1, k2 of each document, and `cover`: how many of the shingles sent also occur in another one."""
-    buckets = max(16, -(-shingles * 7 // BUCKET_BYTES))
+    buckets, slots = max(16, -(-shingles * 7 // BUCKET_BYTES)), max(16, -(-shingles // SLOT))
     packed = frame.mapInArrow(_packer(buckets, whole), _PACKED)
-    counted = packed.groupBy("bucket").applyInArrow(_cover, _COVER)
-    facts = F.max(F.when(F.col("n").isNotNull(), F.struct("n", "k1", "k2"))).alias("f")
-    return counted.groupBy("doc_id").agg(facts, F.sum("cover").alias("cover")).select("doc_id", "f.n", "f.k1", "f.k2", "cover")
+    counted = packed.groupBy("bucket").applyInArrow(_cover(slots), _COUNTS)
+    return counted.groupBy("slot").applyInArrow(_summed, _COVER)
 
 
 _SETS = "doc_id long, n long, k1 long, k2 long, mins array<long>, shingles binary"

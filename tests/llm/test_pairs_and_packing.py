@@ -169,3 +169,23 @@ def test_one_of_each_group_stays(spark):
 def test_similar_documents_of_nothing(spark):
     assert similar_documents(spark.createDataFrame([], SCHEMA)).collect() == []
     assert [tuple(r)[:3] for r in similar_documents(spark.createDataFrame([(4, None), (5, "")], "doc_id long, text string")).orderBy("doc_id").collect()] == [(4, 0, 4), (5, 0, 5)]
+
+
+def test_a_bucket_makes_no_row_for_each_document():
+    import numpy as np
+    import pyarrow as pa
+    from lampyris.llm import ngram_join
+
+    chunks = [[(c * 1000 + i, np.unique(np.array([i, i + 1, 5000 + c * 1000 + i], np.uint64))) for i in range(1000)] for c in range(2)]
+    rows = [r for chunk in chunks for r in ngram_join._pack(chunk, [(3, i, -i) for i, _ in chunk], 1)]
+    cover, seen = ngram_join._cover(16), []
+    for bucket in sorted({b for b, _ in rows}):
+        seen.append(cover((pa.scalar(bucket),), pa.table({"payload": [p for b, p in rows if b == bucket]})))
+    assert len(seen) == 2 and all(t.num_rows <= 16 for t in seen)
+    made, covers = pa.concat_tables(seen), {}
+    for slot in set(made.column("slot").to_pylist()):
+        for r in ngram_join._summed((pa.scalar(slot),), made.filter(pa.compute.equal(made.column("slot"), slot))).to_pylist():
+            covers[r["doc_id"]] = (r["n"], r["k1"], r["k2"], r["cover"])
+    held = [h for chunk in chunks for _, own in chunk for h in own.tolist()]
+    many = Counter(held)
+    assert covers == {i: (3, i, -i, sum(many[h] > 1 for h in own.tolist())) for chunk in chunks for i, own in chunk}
