@@ -20,6 +20,8 @@ from lampyris.llm.words import SPACES, SHINGLE, Texts, pieces, utf8
 
 PIECES, BYTES = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json")
 SYMBOLS = b"#*$%&|<>"
+#: Bytes of text that are measured at a time; the working arrays take some hundred times as much.
+PART = 512 << 10
 #: Base rules: fewest words, and highest percentage of words in repeated five-word windows.
 LEAST_WORDS, MOST_REPEATED = 10, 20
 #: Width of a band in quartile distances. Quartiles of n documents scatter with 1 / sqrt(n): a band is wider by so many times that share.
@@ -140,7 +142,7 @@ def measure(docs: DataFrame, name: str = "measures") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hand_back()
         vocabulary = _Vocabulary()
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PART):
             got = _measured(pa.record_batch({"text": batch.column(column)}), vocabulary)
             own = pa.StructArray.from_arrays([pa.array(got[c], k) for c, k in _FIELDS], names=[c for c, _ in _FIELDS])
             yield pa.record_batch([*batch.columns, own], names=[*batch.schema.names, name])

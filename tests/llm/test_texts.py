@@ -93,6 +93,22 @@ def test_a_small_language_in_another_script_has_bands_of_its_own(spark):
     assert widths[0] > widths[1] > widths[2] and widths[0] == pytest.approx(widths[1], rel=0.01)
 
 
+def test_fertility_measures_little_text_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+    from lampyris.llm.words import pieces
+
+    batch = pa.record_batch({"text": ["some plain words of a text " * 400] * 200})
+    vocabulary = fertility._Vocabulary()
+    list(fertility._measured(part, vocabulary) for part in pieces([batch.slice(0, 1)], "text"))
+    tracemalloc.start()
+    for part in pieces([batch], "text", fertility.PART):
+        fertility._measured(part, vocabulary)
+    assert tracemalloc.get_traced_memory()[1] < 80 << 20
+    tracemalloc.stop()
+
+
 def _measures(spark, n):
     """n accepted documents of one language, all alike."""
     zero = {c: F.lit(1.0) for c in fertility.MEASURES} | {"n_words": F.lit(100), "n_repeat_words": F.lit(0)}
