@@ -1,4 +1,6 @@
-from workload import views
+import glob
+
+from workload import document_queries, views
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -15,3 +17,16 @@ def test_lines_are_joined_last(spark):
             plain = spark.sql(sql)
             assert got.columns == plain.columns
             assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty() and got.count() > 5000
+
+
+def test_raw_requests_of_the_backfill_are_compressed(spark, tmp_path, monkeypatch):
+    def stop(spark, raw, warehouse):
+        assert glob.glob(f"{raw}/*.json.gz") and not glob.glob(f"{raw}/*.json")
+        return spark.read.json(raw).count()
+
+    rows = []
+    monkeypatch.setattr(document_queries, "scratch", lambda spark: str(tmp_path))
+    monkeypatch.setattr(document_queries.backfill, "backfill_requests", lambda *a: rows.append(stop(*a)))
+    views.view(spark, SMALL, "llm_request").write.parquet(f"{tmp_path}/warehouse/feature_daily")
+    document_queries._backfilled(spark, SMALL)
+    assert rows == [views.view(spark, SMALL, "llm_request").count()]

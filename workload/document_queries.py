@@ -520,7 +520,9 @@ ORACLES["stream_upsert_merge_on_read"] = ORACLES["stream_upsert_users"]
 def _backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests as JSON lines, loaded, and the summary that the load stores."""
     where = scratch(spark)
-    views.view(spark, sf_dir, "llm_request").write.option("ignoreNullFields", "false").json(f"{where}/raw")
+    # Gzip files are read whole, so they stay small.
+    options = {"ignoreNullFields": "false", "compression": "gzip", "maxRecordsPerFile": 50_000}
+    views.view(spark, sf_dir, "llm_request").write.options(**options).json(f"{where}/raw")
     backfill.backfill_requests(spark, f"{where}/raw", f"{where}/warehouse")
     return spark.read.parquet(f"{where}/warehouse/feature_daily")
 
