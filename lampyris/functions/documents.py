@@ -64,6 +64,47 @@ def one_of(*values: str) -> str:
     return values[0] if len(values) == 1 else f"coalesce({', '.join(values)})"
 
 
+def structure(**paths: Sequence[str]) -> str:
+    """Type of one structure that holds a document's values at dotted paths, given by the type of their values."""
+    tree: dict = {}
+    for kind, names in paths.items():
+        for name in names:
+            *above, last = name.split(".")
+            node = tree
+            for part in above:
+                node = node.setdefault(part, {})
+            node[last] = kind
+
+    def written(node: dict) -> str:
+        fields = (f"`{name}`: {kind if isinstance(kind, str) else written(kind)}" for name, kind in node.items())
+        return f"struct<{', '.join(fields)}>"
+
+    return written(tree)
+
+
+def taken(root: str, kind: str) -> str:
+    """All values that a ``structure`` names, read in one pass; what is absent or of another kind is NULL.
+
+    Reading path by path walks the document once for each name a value may have, which costs most where few of the names are there.
+    """
+    return f"try_variant_get({root}, '$', '{kind}')"
+
+
+def first_taken(root: str, *paths: str) -> str:
+    """``first_of`` over values that were ``taken`` as text."""
+    return one_of(*[f"{root}.{p}" for p in paths])
+
+
+def json_taken(root: str, *paths: str) -> str:
+    """JSON text of the first value among those ``taken`` as VARIANT."""
+    return f"to_json({one_of(*[present(f'{root}.{p}') for p in paths])})"
+
+
+def layered_taken(layers: Sequence[str], *keys: str) -> str:
+    """``layered`` over objects ``taken`` key by key as VARIANT, topmost first: a JSON null hides the value below it."""
+    return one_of(*[f"cast(coalesce({', '.join(f'{layer}.{k}' for layer in layers)}) as string)" for k in keys])
+
+
 def text_map(root: str, path: str) -> str:
     """The JSON object at the path as map<string,string>; empty for anything else."""
     return f"coalesce(try_variant_get({root}, '$.{path}', 'map<string,string>'), cast(map() as map<string,string>))"
@@ -106,7 +147,11 @@ def integer_of(root: str, *paths: str) -> str:
     A fractional number is cut off; text has to be a whole number, else the
     value counts as not understood (NULL).
     """
-    held = one_of(*[f"nullif(to_json({at(root, p)}), 'null')" for p in paths])
+    return integer_in(one_of(*[f"nullif(to_json({at(root, p)}), 'null')" for p in paths]))
+
+
+def integer_in(held: str) -> str:
+    """``integer_of`` for JSON text."""
     number = f"regexp_extract({held}, '^(\"\\\\s*[+-]?[0-9]+\\\\s*\"|[+-]?[0-9.]+([eE][+-]?[0-9]+)?)$', 1)"
     return f"try_cast(try_cast(trim(replace({number}, '\"', '')) as decimal(38,6)) as bigint)"
 

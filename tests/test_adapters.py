@@ -88,6 +88,36 @@ def test_the_same_payload_counts_once(spark):
     assert normalized(spark, shuffled, other, doc, doc, deduplicate=False).count() == 4
 
 
+def test_payloads_that_differ_in_spelling_only_give_one_row_of_the_same_values(spark):
+    doc = generation(id="a", totalCost=0.5, modelParameters={"temperature": 0.25, "maxTokens": 64}, usage={"promptTokens": 80.9, "completionTokens": 7})
+    plain = json.dumps(doc)
+    spelt = plain.replace("80.9", "80.900").replace("0.25", "0.2500").replace('"id": "a"', '"id":  "\\u0061"').replace("0.5", "0.50")
+    assert spelt != plain
+    alone = [only(generations.requests(normalized(spark, d))) for d in (plain, spelt)]
+    assert alone[0] == alone[1] == only(generations.requests(normalized(spark, plain, spelt, spelt)))
+
+
+def test_values_of_other_kinds_are_absent_or_text(spark):
+    doc = generation(trace="none", metadata=[1], usage="many", usageDetails={"input": 5, "output": None}, model={"b": 1, "a": [2]}, id=7.50)
+    row = only(normalized(spark, doc))
+    assert (row.request_id, row.model_name, row.prompt_tokens, row.completion_tokens) == ("7.5", '{"a":[2],"b":1}', 5, None)
+    assert (row.user_id, row.feature_name, row.region, row.environment) == ("", "", "", "")
+    for text in ("[1]", "5", '"x"', "null"):
+        row = only(normalized(spark, text))
+        assert "validity:unparsable_document" not in row._dq_errors and "completeness:missing_request_id" in row._dq_errors
+
+
+def test_a_generation_is_parsed_and_read_once(spark):
+    """Every path read on its own walks the document again; 36 million documents did not fit the time so."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", 10_000)
+    plans = [
+        str(frame._jdf.queryExecution().optimizedPlan().toString())
+        for frame in (generations.requests(normalized(spark, generation())), generations.rejects(normalized(spark, generation(), only_labels=True)))
+    ]
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert [(plan.count("variant_get("), plan.count("parseJson")) for plan in plans] == [(1, 1)] * 2
+
+
 def test_rejected_generations_name_every_fault(spark):
     doc = generation(type="SPAN", endTime=at("17:20:05.250"), usage={"promptTokens": -3, "completionTokens": 4, "totalTokens": 5})
     doc["trace"] = {"metadata": {"provider": "shared"}}
