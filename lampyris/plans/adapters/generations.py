@@ -156,7 +156,7 @@ def normalize(lines: DataFrame, column: str = "value", deduplicate: bool = True,
         ("http_status not between 100 and 599", "validity:invalid_http_status"),
         ("_type <> 'generation'", "validity:unsupported_observation_type"),
     ]
-    labels = F.when(F.col("_broken"), F.array(F.lit(UNPARSABLE))).otherwise(F.expr(obs.labels(checks)))
+    labels = F.when(F.col("_broken"), F.array(F.lit(UNPARSABLE))).otherwise(F.expr(obs.labels_if_any(checks)))
     checked = judged.withColumn(ERRORS, labels)
     checked = settled(checked.withColumn(STATUS, F.expr(f"if(size({ERRORS}) = 0, '{VALID}', '{REJECTED}')")))
     if only_labels:

@@ -104,7 +104,11 @@ def missing(prefix: str, fields: Sequence[str]) -> list[tuple[str, str]]:
 
 
 def labels(checks: Sequence[tuple[str, str]]) -> str:
-    """Array of the labels whose condition is true; one is built only for a row that breaks a rule."""
+    """Array of the labels whose condition is true."""
+    return "array_compact(array(" + ", ".join(f"case when {cond} then '{label}' end" for cond, label in checks) + "))"
+
+
+def labels_if_any(checks: Sequence[tuple[str, str]]) -> str:
+    """``labels`` over plain columns, where an array is built only for a row that breaks a rule."""
     broken = " or ".join(f"({cond})" for cond, _ in checks)
-    named = ", ".join(f"case when {cond} then '{label}' end" for cond, label in checks)
-    return f"if({broken}, array_compact(array({named})), cast(array() as array<string>))"
+    return f"if({broken}, {labels(checks)}, cast(array() as array<string>))"
