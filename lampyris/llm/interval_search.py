@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lampyris.llm.scratch import materialise
+from lampyris.llm.scratch import LARGE_ROWS, materialise
 from lampyris.llm.words import NOT_ALNUM, Texts, pieces, utf8
 
 #: Fixed by the ranking: scale of a weight, of an impact, and of a length's share.
@@ -87,7 +87,7 @@ def build_index(docs: DataFrame) -> DataFrame:
             yield flush()
 
     schema = ", ".join(f"{name} binary" for name, _ in _ARRAYS)
-    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(build, schema), "interval-index")
+    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(build, schema), "interval-index", **LARGE_ROWS)
 
 
 class _Lists:

@@ -20,11 +20,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialise(frame: DataFrame, label: str) -> DataFrame:
-    """`frame`, written once as Parquet under the shared folder and read again: lost executors do not lose it."""
+#: Writer's options for rows of many MB: the sizes of page and row group are looked at after each row, not only after 100, and no statistics
+#: keep the least and greatest value of each row group until the file ends. So a task that writes or reads such rows holds a row or two at a
+#: time, however many its file has.
+LARGE_ROWS = {"parquet.block.size": 8 << 20, "parquet.enable.dictionary": "false", "parquet.column.statistics.enabled": "false"} | {
+    f"parquet.{part}.size.row.check.{end}": 1 for part in ("block", "page") for end in ("min", "max")
+}
+
+
+def materialise(frame: DataFrame, label: str, **options: int | str) -> DataFrame:
+    """`frame`, written once as Parquet under the shared folder and read again: lost executors do not lose it. `options` are those of the writer."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -16,12 +16,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lampyris.llm.scratch import materialise
+from lampyris.llm.cache import hand_back
+from lampyris.llm.scratch import LARGE_ROWS, materialise
 from lampyris.llm.words import NOT_ALNUM, Texts, pieces, utf8
 
 K1, B = 1.2, 0.75
-#: Documents of a block (as a shift), and bytes of text and documents of a shard.
+#: Documents of a block (as a shift), and bytes of text and documents of a shard; a place in a shard has 16 bits.
 SHIFT, SHARD_BYTES, SHARD_DOCS = 6, 16 << 20, 60_000
+#: Bytes of text whose words are hashed at a time.
+PIECE_BYTES = 512 << 10
 #: Bytes of words (about) of the queries that are sent to all shards at a time; a larger query table takes more rounds over the index.
 ROUND_BYTES = 2 << 20
 #: From so many words on nearly every block can hold a hit: all postings of the words are summed without bounds.
@@ -35,9 +38,10 @@ _ARRAYS = (
 
 
 def _shard(hashes: np.ndarray, counts: np.ndarray, ids: pa.Array) -> dict[str, np.ndarray]:
-    owner = np.repeat(np.arange(len(counts)), counts)
+    owner = np.repeat(np.arange(len(counts), dtype=np.uint16), counts)
     order = np.argsort(hashes, kind="stable")
     h, d = hashes[order], owner[order]
+    del hashes, owner, order
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
     at = np.flatnonzero(new)
@@ -57,8 +61,11 @@ def _shard(hashes: np.ndarray, counts: np.ndarray, ids: pa.Array) -> dict[str, n
     }
 
 
-def _open(row: dict) -> dict[str, np.ndarray]:
-    return {name: np.frombuffer(row[name], kind) for name, kind in _ARRAYS}
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """The shards of the index one by one, as views of the batch."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: np.frombuffer(batch.column(name)[i].as_buffer(), kind) for name, kind in _ARRAYS if name in batch.schema.names}
 
 
 def build_index(docs: DataFrame) -> DataFrame:
@@ -73,24 +80,28 @@ def build_index(docs: DataFrame) -> DataFrame:
         size = n = 0
 
         def flush() -> pa.RecordBatch:
-            made = _shard(np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]), pa.concat_arrays([x[2] for x in held]))
+            counts, ids = np.concatenate([x[1] for x in held]), pa.concat_arrays([x[2] for x in held])
+            hashes = [x[0] for x in held]
+            held.clear()
+            made = _shard(np.concatenate(hashes), counts, ids)
             return pa.record_batch({name: pa.array([np.asarray(made[name]).astype(kind).tobytes()], pa.binary()) for name, kind in _ARRAYS})
 
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE_BYTES):
             for at in range(0, batch.num_rows, SHARD_DOCS):
                 part = batch.slice(at, SHARD_DOCS)
                 data, bounds = utf8(part.column("text"))
                 if held and (size + len(data) > SHARD_BYTES or n + part.num_rows > SHARD_DOCS):
                     yield flush()
-                    held, size, n = [], 0, 0
+                    size = n = 0
                 words = Texts(data, bounds, NOT_ALNUM)
                 held.append((words.hash, np.diff(words.first), part.column("doc_id").cast(pa.int64())))
                 size, n = size + len(data), n + part.num_rows
         if held:
             yield flush()
+        hand_back()
 
     schema = ", ".join(f"{name} binary" for name, _ in _ARRAYS)
-    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(build, schema), "index")
+    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(build, schema), "index", **LARGE_ROWS)
 
 
 def _rounds(queries: DataFrame) -> tuple[DataFrame, int]:
@@ -190,14 +201,12 @@ def _hits(index: DataFrame, asked: dict[int, np.ndarray], k: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n, total = np.zeros(len(words), np.int64), 0, 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                shard = {name: np.frombuffer(row[name], kind) for name, kind in _ARRAYS if name in row}
-                n, total = n + len(shard["lengths"]), total + int(shard["lengths"].sum(dtype=np.int64))
-                at = np.searchsorted(shard["terms"], words)
-                there = at < len(shard["terms"])
-                there[there] = shard["terms"][at[there]] == words[there]
-                df[there] += np.diff(shard["first"])[at[there]]
+        for shard in _shards(batches):
+            n, total = n + len(shard["lengths"]), total + int(shard["lengths"].sum(dtype=np.int64))
+            at = np.searchsorted(shard["terms"], words)
+            there = at < len(shard["terms"])
+            there[there] = shard["terms"][at[there]] == words[there]
+            df[there] += np.diff(shard["first"])[at[there]]
         some = np.flatnonzero(df)
         yield pa.record_batch({"word": pa.array([-1, -2, *some.tolist()], pa.int64()), "n": pa.array([n, total, *df[some].tolist()], pa.int64())})
 
@@ -209,18 +218,18 @@ def _hits(index: DataFrame, asked: dict[int, np.ndarray], k: int) -> DataFrame:
     mean = total / n if total else 1.0
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                shard, out, impact = _open(row), [], None
-                for query, own in asked.items():
-                    weights = idf[np.searchsorted(words, own)]
-                    if len(own) < LONG:
-                        top = _top(shard, own, weights, mean, k)
-                    else:
-                        impact = _impact(shard["tf"], shard["lengths"][shard["docs"]], mean) if impact is None else impact
-                        top = _top_long(shard, own, weights, impact, k)
-                    for score, place in top:
-                        out.append((query, int(shard["ids"][place]) if shard["known"][place] else None, score))
-                yield pa.record_batch({"query_id": pa.array([o[0] for o in out], pa.int64()), "doc_id": pa.array([o[1] for o in out], pa.int64()), "score": pa.array([o[2] for o in out], pa.float64())})
+        for shard in _shards(batches):
+            out, impact = [], None
+            for query, own in asked.items():
+                weights = idf[np.searchsorted(words, own)]
+                if len(own) < LONG:
+                    top = _top(shard, own, weights, mean, k)
+                else:
+                    impact = _impact(shard["tf"], shard["lengths"][shard["docs"]], mean) if impact is None else impact
+                    top = _top_long(shard, own, weights, impact, k)
+                for score, place in top:
+                    out.append((query, int(shard["ids"][place]) if shard["known"][place] else None, score))
+            yield pa.record_batch({"query_id": pa.array([o[0] for o in out], pa.int64()), "doc_id": pa.array([o[1] for o in out], pa.int64()), "score": pa.array([o[2] for o in out], pa.float64())})
+        hand_back()
 
     return index.mapInArrow(answer, "query_id long, doc_id long, score double")

@@ -5,10 +5,11 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from lampyris.llm import fertility, licenses, mixing, preferences, search, secrets, toxicity
+from lampyris.llm import fertility, interval_search, licenses, mixing, preferences, search, secrets, toxicity
 from lampyris.llm.queries import MORE
 
 from .fixtures import FOLD, SCHEMA, WORDS, corpus, prose
@@ -282,6 +283,17 @@ def test_documents_are_searched_for_in_rounds(spark, path, monkeypatch, long):
     assert all([s for _, s in v] == pytest.approx([s for _, s in expected[q]]) for q, v in got.items())
 
 
+@pytest.mark.parametrize("module", [search, interval_search])
+def test_an_index_file_holds_its_shards_apart(spark, monkeypatch, module):
+    monkeypatch.setattr(module, "SHARD_BYTES", 1)
+    rows = [(i, " ".join(f"{i}w{j}x" for j in range(300_000))) for i in range(4)]
+    index = module.build_index(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    (file,) = index.inputFiles()
+    meta = pq.ParquetFile(file.removeprefix("file://")).metadata
+    assert (meta.num_rows, meta.num_row_groups) == (4, 4)  # a task that reads or writes the file holds one shard, not all
+    assert not any(meta.row_group(0).column(c).is_stats_set for c in range(meta.num_columns))  # values of all row groups, kept until the end
+
+
 # --- preferences --------------------------------------------------------------------
 
 
