@@ -1,6 +1,7 @@
 import glob
 
 from workload import document_queries, views
+from workload.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -30,3 +31,16 @@ def test_raw_requests_of_the_backfill_are_compressed(spark, tmp_path, monkeypatc
     views.view(spark, SMALL, "llm_request").write.parquet(f"{tmp_path}/warehouse/feature_daily")
     document_queries._backfilled(spark, SMALL)
     assert rows == [views.view(spark, SMALL, "llm_request").count()]
+
+
+def test_facts_of_traces_share_their_shuffles(spark):
+    """Lines and orders are shuffled once for all five facts, and no partial rows of traces."""
+    for name in ("llm_request", "agent_run", "retrieval"):
+        got, plain = views.traced(spark, SMALL, name), views.view(spark, SMALL, name)
+        assert got.columns == plain.columns
+        assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty() and got.count() > 1000
+    mart = QUERIES["mart_trace_health"](spark, SMALL)
+    assert len(mart.collect()) > 1000
+    final = mart._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    dealt = [line.strip("+-: |") for line in final.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    assert sorted(line.split("(")[1].split("#")[0] for line in dealt) == ["l_trace", "o_trace"]

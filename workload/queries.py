@@ -81,7 +81,7 @@ class Data:
 
     def trace_health(self) -> DataFrame:
         kinds = ("llm_request", "agent_run", "agent_span", "tool_call", "retrieval")
-        return trace_health.trace_health(*[self.fact(k) for k in kinds])
+        return trace_health.trace_health(*[facts.valid(views.traced(self.spark, self.sf_dir, k), k) for k in kinds])
 
     def regression(self) -> DataFrame:
         return marts.experiment_regression(

@@ -19,6 +19,14 @@ _LINES = "lineitem l join orders o on l.l_orderkey = o.o_orderkey join customer
 _ORDERS = "orders o join customer c on o.o_custkey = c.c_custkey"
 #: The same join for Spark: orders meet their customers first, so lines are shuffled once, by their order, and not again by customer.
 _LINES_LAST = f"lineitem l join ({_ORDERS}) on l.l_orderkey = o.o_orderkey"
+#: The facts of traces for Spark: lines and orders are dealt out by trace id. The one-row generators end the filters and column lists of
+#: a fact, so all facts read the same two shuffles, and their rows of a trace stand together for what groups by it.
+_TRACED_ORDERS = f"""(select o_trace, inline(array(struct(o_orderkey, o_orderkey as l_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+  o_orderpriority, c_mktsegment, c_nationkey))) from (select /*+ repartition(o_trace) */ * from
+  (select *, concat('trace_', o_orderkey) as o_trace from {_ORDERS}) where o_trace is not null))"""
+_TRACED_LINES = f"""(select l_trace, inline(array(struct(l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus)))
+  from (select /*+ repartition(l_trace) */ * from (select *, concat('trace_', l_orderkey) as l_trace from lineitem) where l_trace is not null))
+  join {_TRACED_ORDERS} on l_trace = o_trace"""
 
 VIEWS: dict[str, str] = {
     "llm_request": f"""
@@ -352,7 +360,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived raw fact or dimension."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return _resolved(spark, sf_dir, VIEWS[name])
+    return _resolved(spark, sf_dir, VIEWS[name].replace(_LINES, _LINES_LAST))
+
+
+def traced(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The rows of `view` that have a trace, for a fact that is read together with others by trace id."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    sql = re.sub(r"concat\('trace_', ([lo])_orderkey\)", r"\1_trace", VIEWS[name])
+    given, dealt = (_LINES, _TRACED_LINES) if _LINES in sql else (_ORDERS, _TRACED_ORDERS)
+    return _resolved(spark, sf_dir, sql.replace(f"from {given}", f"from {dealt}"))
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -367,6 +383,6 @@ def documents(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _resolved(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     for given in TABLES:
-        if re.search(rf"\b(from|join) {given}\b", sql):
+        if re.search(rf"\b(from|join) \(?{given}\b", sql):
             table(spark, sf_dir, given).createOrReplaceTempView(given)
-    return spark.sql(sql.replace(_LINES, _LINES_LAST))
+    return spark.sql(sql)
