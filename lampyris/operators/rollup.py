@@ -20,7 +20,7 @@ holds one row per key where values can be counted, and merging keeps it so.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -253,6 +253,10 @@ class Rollup:
         out = facts.groupBy(*self.keys).agg(*parts).select(*self.keys, *results)
         return out.select(*self.columns) if self.columns else out
 
+    def totals(self, facts: DataFrame) -> DataFrame:
+        """The same rows without percentile and distinct count: one aggregation by the keys, where only counts and sums are asked for."""
+        return replace(self, percentile=None, distinct=None, columns=()).build(facts)
+
     def _rank(self, of: str) -> Column:
         """ceil(percent/100 * n), at least 1, in whole numbers."""
         p = self.percentile.percent

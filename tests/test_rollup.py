@@ -87,3 +87,12 @@ def test_distinct_count_and_partials_of_several_batches(spark):
     for k, _, _, u in data:
         users[k].add(u)
     assert {r.k: r.users for r in whole.collect()} == {k: len(v) for k, v in users.items()}
+
+
+def test_totals_have_the_rows_and_sums_of_the_summary(spark):
+    rng = random.Random(8)
+    facts = spark.createDataFrame([(rng.choice("abc"), rng.choice([None, 1, 2]), rng.choice([None, 0.25, 0.5])) for _ in range(300)], "k string, j int, v double")
+    for part in ({"percentile": Percentile("p", "v", 10, bin_width=0.01)}, {"distinct": DistinctCount("p", "v")}):
+        rollup = Rollup(("k", "j"), (rows("n"), total("s", "j")), **part)
+        assert rollup.totals(facts).columns == ["k", "j", "n", "s"]
+        assert sorted(map(str, rollup.totals(facts).collect())) == sorted(map(str, rollup.build(facts).drop("p").collect()))

@@ -1,4 +1,7 @@
 import glob
+import re
+
+from pyspark.sql import functions as F
 
 from workload import document_queries, views
 from workload.queries import QUERIES
@@ -33,14 +36,40 @@ def test_raw_requests_of_the_backfill_are_compressed(spark, tmp_path, monkeypatc
     assert rows == [views.view(spark, SMALL, "llm_request").count()]
 
 
+def _dealt(frame):
+    """Keys of the shuffles of a query that was run, without those that were read again."""
+    final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    own = [line for line in final.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    return [tuple(re.findall(r"(\w+)#", line.split("hashpartitioning(")[1].split("), ")[0])) for line in own]
+
+
 def test_facts_of_traces_share_their_shuffles(spark):
     """Lines and orders are shuffled once for all five facts, and no partial rows of traces."""
     for name in ("llm_request", "agent_run", "retrieval"):
-        got, plain = views.traced(spark, SMALL, name), views.view(spark, SMALL, name)
+        got, plain = views.shared(spark, SMALL, name, by_trace=True), views.view(spark, SMALL, name)
         assert got.columns == plain.columns
         assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty() and got.count() > 1000
     mart = QUERIES["mart_trace_health"](spark, SMALL)
     assert len(mart.collect()) > 1000
-    final = mart._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    dealt = [line.strip("+-: |") for line in final.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
-    assert sorted(line.split("(")[1].split("#")[0] for line in dealt) == ["l_trace", "o_trace"]
+    assert sorted(_dealt(mart)) == [("l_key",), ("o_key",)]
+
+
+def test_all_summaries_of_the_verification_read_the_same_lines(spark):
+    totals = QUERIES["verify_summary_totals"](spark, SMALL)
+    assert len(totals.collect()) == 14
+    keys = _dealt(totals)
+    assert keys.count(("l_key",)) == keys.count(("o_key",)) == 1 and not [k for k in keys if "orderkey" in k[0]]
+    assert len(keys) > 14 and not {"_value", "_bin", "_place"} & {c for k in keys for c in k}  # no percentile or distinct count that no total needs
+
+
+def test_shared_facts_keep_orders_without_a_key(spark, path):
+    for name in ("lineitem", "orders", "customer"):
+        rows = spark.read.parquet(f"{SMALL}/{name}.parquet")
+        for key in ("l_orderkey", "o_orderkey"):
+            if key in rows.columns:
+                rows = rows.withColumn(key, F.expr(f"nullif({key}, (select min({key}) from parquet.`{SMALL}/{name}.parquet`)) - 2"))
+        rows.write.parquet(f"{path}/{name}.parquet")
+    for name in ("llm_request", "agent_run", "feedback", "handoff"):
+        got, plain = views.shared(spark, path, name), views.view(spark, path, name)
+        assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty() and got.count() == plain.count() > 1000
+    assert views.shared(spark, path, "agent_run").where("run_id is null").count() == 1

@@ -81,7 +81,7 @@ class Data:
 
     def trace_health(self) -> DataFrame:
         kinds = ("llm_request", "agent_run", "agent_span", "tool_call", "retrieval")
-        return trace_health.trace_health(*[facts.valid(views.traced(self.spark, self.sf_dir, k), k) for k in kinds])
+        return trace_health.trace_health(*[facts.valid(views.shared(self.spark, self.sf_dir, k, by_trace=True), k) for k in kinds])
 
     def regression(self) -> DataFrame:
         return marts.experiment_regression(
@@ -90,6 +90,13 @@ class Data:
         )
 
 
+class Shared(Data):
+    """For queries of many facts: these read the same shuffles."""
+
+    def raw(self, name: str) -> DataFrame:
+        return views.shared(self.spark, self.sf_dir, name)
+
+
 def _on(build: Callable[[Data], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(Data(spark, sf_dir))
 
@@ -552,10 +559,10 @@ register(
 _CONTROLS: dict[str, tuple[Callable[[Data], DataFrame], str, str]] = {
     "feature_daily": (Data.feature_daily, "request_count", "w_feature_daily"),
     "retrieval_daily": (Data.retrieval_daily, "retrieval_cnt_1d", "w_retrieval_daily"),
-    "feedback_daily": (Data.feedback_daily, "feedback_cnt_1d", "w_feedback_daily"),
-    "guardrail_daily": (Data.guardrail_daily, "check_cnt_1d", "w_guardrail_daily"),
+    "feedback_daily": (lambda d: summaries.FEEDBACK_DAILY.totals(d.fact("feedback")), "feedback_cnt_1d", "w_feedback_daily"),
+    "guardrail_daily": (lambda d: summaries.GUARDRAIL_DAILY.totals(d.fact("guardrail")), "check_cnt_1d", "w_guardrail_daily"),
     "team_cost_daily": (Data.team_cost_daily, "request_cnt_1d", "w_team_cost_daily"),
-    "evaluation_daily": (Data.evaluation_daily, "evaluation_cnt_1d", "w_evaluation_daily"),
+    "evaluation_daily": (lambda d: summaries.EVALUATION_DAILY.totals(d.fact("evaluation")), "evaluation_cnt_1d", "w_evaluation_daily"),
     "prompt_version_daily": (Data.prompt_daily, "request_cnt_1d", "w_prompt_daily"),
     "feature_env_daily": (lambda d: summaries.feature_env_daily(d.fact("llm_request")), "request_cnt_1d", "w_feature_env_daily"),
     "region_daily": (lambda d: summaries.region_daily(d.fact("llm_request")), "request_cnt_1d", "w_region_daily"),
@@ -567,7 +574,7 @@ _CONTROLS: dict[str, tuple[Callable[[Data], DataFrame], str, str]] = {
 }
 register(
     "verify_summary_totals",
-    _on(lambda d: consumer.summary_control_totals({n: (b(d), F.expr(c)) for n, (b, c, _) in _CONTROLS.items()})),
+    lambda spark, sf_dir: consumer.summary_control_totals({n: (b(Shared(spark, sf_dir)), F.expr(c)) for n, (b, c, _) in _CONTROLS.items()}),
     " union all ".join(
         f"select '{n}' as table_name, count(*) as row_count, cast(sum({c}) as bigint) as control_total from {t}"
         for n, (_, c, t) in _CONTROLS.items()

@@ -19,15 +19,24 @@ _LINES = "lineitem l join orders o on l.l_orderkey = o.o_orderkey join customer
 _ORDERS = "orders o join customer c on o.o_custkey = c.c_custkey"
 #: The same join for Spark: orders meet their customers first, so lines are shuffled once, by their order, and not again by customer.
 _LINES_LAST = f"lineitem l join ({_ORDERS}) on l.l_orderkey = o.o_orderkey"
-#: The facts of traces for Spark: lines and orders are dealt out by trace id. The one-row generators end the filters and column lists of
-#: a fact, so all facts read the same two shuffles, and their rows of a trace stand together for what groups by it.
-_TRACED_ORDERS = f"""(select o_trace, inline(array(struct(o_orderkey, o_orderkey as l_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
-  o_orderpriority, c_mktsegment, c_nationkey))) from (select /*+ repartition(o_trace) */ * from
-  (select *, concat('trace_', o_orderkey) as o_trace from {_ORDERS}) where o_trace is not null))"""
-_TRACED_LINES = f"""(select l_trace, inline(array(struct(l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus)))
-  from (select /*+ repartition(l_trace) */ * from (select *, concat('trace_', l_orderkey) as l_trace from lineitem) where l_trace is not null))
-  join {_TRACED_ORDERS} on l_trace = o_trace"""
 
+
+def _shared(key: str, none: str) -> tuple[str, str]:
+    """Lines and orders for Spark where a query reads several facts of them, dealt out by `key` of the order (as `l_key` and `o_key`; `none` for an order without one).
+
+    The one-row generators end the filters and column lists of a fact, so all facts read the same two shuffles, and their rows of a key
+    stand together for what groups by it.
+    """
+    orders = f"""(select o_key, inline(array(struct(o_orderkey, o_orderkey as l_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+      o_orderpriority, c_mktsegment, c_nationkey))) from
+      (select /*+ repartition(o_key) */ * from (select *, coalesce({key.format("o_orderkey")}, {none}) as o_key from {_ORDERS})))"""
+    lines = f"""(select l_key, inline(array(struct(l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus))) from
+      (select /*+ repartition(l_key) */ * from (select *, {key.format("l_orderkey")} as l_key from lineitem where l_orderkey is not null)))
+      join {orders} on l_key = o_key and o_orderkey is not null"""
+    return lines, orders
+
+
+_TRACE = "concat('trace_', {})"
 VIEWS: dict[str, str] = {
     "llm_request": f"""
 select v.*, prompt_tokens + completion_tokens as total_tokens,
@@ -363,11 +372,13 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _resolved(spark, sf_dir, VIEWS[name].replace(_LINES, _LINES_LAST))
 
 
-def traced(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The rows of `view` that have a trace, for a fact that is read together with others by trace id."""
+def shared(spark: SparkSession, sf_dir: str, name: str, by_trace: bool = False) -> DataFrame:
+    """`view`, for a fact that is read together with others; `by_trace`, if they are grouped by trace id (empty, not null, for an order without a key)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    sql = re.sub(r"concat\('trace_', ([lo])_orderkey\)", r"\1_trace", VIEWS[name])
-    given, dealt = (_LINES, _TRACED_LINES) if _LINES in sql else (_ORDERS, _TRACED_ORDERS)
+    sql, (lines, orders) = VIEWS[name], _shared(*((_TRACE, "''") if by_trace else ("{}", "0")))
+    if by_trace:
+        sql = sql.replace(_TRACE.format("l_orderkey"), "l_key").replace(_TRACE.format("o_orderkey"), "o_key")
+    given, dealt = (_LINES, lines) if _LINES in sql else (_ORDERS, orders)
     return _resolved(spark, sf_dir, sql.replace(f"from {given}", f"from {dealt}"))
 
 
