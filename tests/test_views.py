@@ -54,6 +54,17 @@ def test_facts_of_traces_share_their_shuffles(spark):
     assert sorted(_dealt(mart)) == [("l_key",), ("o_key",)]
 
 
+def test_facts_of_many_lines_are_grouped_in_many_tasks(spark, monkeypatch):
+    few = QUERIES["mart_trace_health"](spark, SMALL)
+    monkeypatch.setattr(views, "TASK_LINES", 500)
+    many = QUERIES["mart_trace_health"](spark, SMALL)
+    n = views.table(spark, SMALL, "lineitem").count() // 500
+    assert n > 4 and many.exceptAll(few).isEmpty() and many.count() == few.count() > 1000
+    many.collect()
+    dealt = [line for line in many._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert dealt and all(f", {n}), REPARTITION_BY_NUM" in line for line in dealt)
+
+
 def test_all_summaries_of_the_verification_read_the_same_lines(spark):
     totals = QUERIES["verify_summary_totals"](spark, SMALL)
     assert len(totals.collect()) == 14

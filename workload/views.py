@@ -21,7 +21,11 @@ _ORDERS = "orders o join customer c on o.o_custkey = c.c_custkey"
 _LINES_LAST = f"lineitem l join ({_ORDERS}) on l.l_orderkey = o.o_orderkey"
 
 
-def _shared(key: str, none: str) -> tuple[str, str]:
+#: Lines of a task that groups the facts of traces: their nodes, some KB for each line, are sorted in its memory.
+TASK_LINES = 150_000
+
+
+def _shared(key: str, none: str, tasks: str = "") -> tuple[str, str]:
     """Lines and orders for Spark where a query reads several facts of them, dealt out by `key` of the order (as `l_key` and `o_key`; `none` for an order without one).
 
     The one-row generators end the filters and column lists of a fact, so all facts read the same two shuffles, and their rows of a key
@@ -29,9 +33,9 @@ def _shared(key: str, none: str) -> tuple[str, str]:
     """
     orders = f"""(select o_key, inline(array(struct(o_orderkey, o_orderkey as l_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
       o_orderpriority, c_mktsegment, c_nationkey))) from
-      (select /*+ repartition(o_key) */ * from (select *, coalesce({key.format("o_orderkey")}, {none}) as o_key from {_ORDERS})))"""
+      (select /*+ repartition({tasks}o_key) */ * from (select *, coalesce({key.format("o_orderkey")}, {none}) as o_key from {_ORDERS})))"""
     lines = f"""(select l_key, inline(array(struct(l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus))) from
-      (select /*+ repartition(l_key) */ * from (select *, {key.format("l_orderkey")} as l_key from lineitem where l_orderkey is not null)))
+      (select /*+ repartition({tasks}l_key) */ * from (select *, {key.format("l_orderkey")} as l_key from lineitem where l_orderkey is not null)))
       join {orders} on l_key = o_key and o_orderkey is not null"""
     return lines, orders
 
@@ -375,8 +379,10 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared(spark: SparkSession, sf_dir: str, name: str, by_trace: bool = False) -> DataFrame:
     """`view`, for a fact that is read together with others; `by_trace`, if they are grouped by trace id (empty, not null, for an order without a key)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    sql, (lines, orders) = VIEWS[name], _shared(*((_TRACE, "''") if by_trace else ("{}", "0")))
+    sql, (lines, orders) = VIEWS[name], _shared("{}", "0")
     if by_trace:
+        tasks = table(spark, sf_dir, "lineitem").count() // TASK_LINES
+        lines, orders = _shared(_TRACE, "''", f"{tasks}, " if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else "")
         sql = sql.replace(_TRACE.format("l_orderkey"), "l_key").replace(_TRACE.format("o_orderkey"), "o_key")
     given, dealt = (_LINES, lines) if _LINES in sql else (_ORDERS, orders)
     return _resolved(spark, sf_dir, sql.replace(f"from {given}", f"from {dealt}"))
